@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootline.llm import bpe, fingerprints, linededup, packing, sharding, simhash, vectors
+from rootline.llm import bpe, fingerprints, linededup, packing, quality, sharding, simhash, toxicity, vectors
 from rootline.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -43,9 +51,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash": op5_simhash,
     "op6_bpe": op6_bpe,
+    "op7_quality": op7_quality,
     "op8_vectors": op8_vectors,
     "op9_sharding": op9_sharding,
     "op10_line_dedup": op10_line_dedup,
