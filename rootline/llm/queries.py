@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootline.llm import bpe, fingerprints, linededup, packing, quality, sharding, simhash, toxicity, vectors
+from rootline.llm import bpe, fingerprints, licenses, linededup, packing, quality, sharding, simhash, toxicity, vectors
 from rootline.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.query_paths(table(spark, sf_dir, "documents")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_packing": op1_packing,
+    "op2_licenses": op2_licenses,
     "op3_toxicity": op3_toxicity,
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash": op5_simhash,
@@ -63,7 +68,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
+_TEMPLATES = ", ".join(f"('{n}', '{t}')" for n, t in licenses.TEMPLATES.items())
+_WORDS = "regexp_extract_all(lower({}), '[a-z0-9][a-z0-9+-]*(?:\\.[0-9]+)?')"
+
 ORACLES: dict[str, str] = {
+    "op2_licenses": f"""
+WITH f AS (SELECT doc_id, coalesce(text, '') AS text, CASE WHEN coalesce(regexp_matches(text, '(?i)^[^\\n]*\\blicen[sc]ed?\\b'), FALSE) AND doc_id % 4 = 0 THEN
+    CASE WHEN doc_id % 12 = 0 THEN source WHEN doc_id % 12 = 4 THEN source || '/' || lang ELSE source || '/' || lang || '/b' || (doc_id // 100) END || '/LICENSE'
+    ELSE source || '/' || lang || '/b' || (doc_id // 100) || '/' || doc_id || '.txt' END AS path FROM documents),
+t AS (SELECT * FROM (VALUES {_TEMPLATES}) v(template, body)),
+tt AS (SELECT template, term, count(*) AS tf FROM (SELECT template, unnest({_WORDS.format("body")}) AS term FROM t) GROUP BY 1, 2),
+d AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_WORDS.format("text")}) AS term FROM f) WHERE term IN (SELECT term FROM tt) GROUP BY 1),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM f)) / CAST(1 + coalesce(df, 0) AS DOUBLE)) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN d USING (term)),
+tw AS (SELECT template, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS w FROM tt JOIN idf USING (term)),
+u AS (SELECT doc_id, unnest(range(len(ls))) AS unit, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM f) UNION ALL SELECT doc_id, -1, text FROM f WHERE path LIKE '%/LICENSE'),
+ut AS (SELECT doc_id, unit, term, count(*) AS tf FROM (SELECT doc_id, unit, unnest({_WORDS.format("line")}) AS term FROM u) WHERE term IN (SELECT term FROM tt) GROUP BY 1, 2, 3),
+uw AS (SELECT doc_id, unit, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id, unit)) AS w FROM ut JOIN idf USING (term)),
+s AS (SELECT doc_id, template, round(sum(uw.w * tw.w), 6) AS score FROM uw JOIN tw USING (term) GROUP BY doc_id, unit, template),
+own AS (SELECT doc_id, split_part(template, '/', 1) AS own_license, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, template) AS rn FROM s WHERE score >= 0.6) WHERE rn = 1),
+r AS (SELECT f.doc_id, path, own_license, score, regexp_replace(path, '/?[^/]*$', '') AS folder FROM f LEFT JOIN own USING (doc_id)),
+g AS (SELECT folder, own_license FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY score DESC, own_license, path) AS rn FROM r WHERE own_license IS NOT NULL AND path LIKE '%/LICENSE') WHERE rn = 1),
+n AS (SELECT r.doc_id, g.own_license AS near, g.folder AS inherited_from, row_number() OVER (PARTITION BY r.doc_id ORDER BY length(g.folder) DESC) AS rn FROM r JOIN g ON r.folder = g.folder OR starts_with(r.folder, g.folder || '/'))
+SELECT r.doc_id, path, own_license, score, coalesce(own_license, near) AS license, CASE WHEN own_license IS NULL THEN inherited_from END AS inherited_from FROM r LEFT JOIN n ON r.doc_id = n.doc_id AND n.rn = 1
+""",
     "op10_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line
