@@ -119,10 +119,14 @@ def count_diff(previous: DataFrame, latest: DataFrame, keys: list[str], column:
 
 
 def proteome_status(df: DataFrame) -> DataFrame:
-    """Status and reason from exists, bytes, records and proteome_id: MISSING, EMPTY, ORPHANS or SELECTED."""
-    status = F.when(~F.col("exists"), "MISSING").when((F.coalesce("bytes", F.lit(0)) == 0) | (F.coalesce("records", F.lit(0)) == 0), "EMPTY").when(blank(F.col("proteome_id")), "ORPHANS").otherwise("SELECTED")
-    reasons = {"MISSING": "no directory or no sequences", "EMPTY": "no records in the sequence file", "ORPHANS": "no proteome selected; all proteins of the taxon", "SELECTED": ""}
-    reason = F.try_element_at(F.create_map(*[F.lit(x) for kv in reasons.items() for x in kv]), F.col("status"))
+    """Status and Reason from exists (the folder), bytes (of the sequence file), proteome_type, has_metadata and candidates."""
+    filled = F.coalesce(F.col("bytes"), F.lit(0)) > 0
+    orphans = F.coalesce(F.lower(F.trim("proteome_type")) == "orphans", F.lit(False))
+    status = F.when(~F.col("exists"), "MISSING").when(~filled, "EMPTY").when(orphans, "ORPHANS").otherwise("SELECTED")
+    reason = (
+        F.when(F.col("status") == "MISSING", "no species dir").when((F.col("status") == "EMPTY") & (F.coalesce("candidates", F.lit(0)) == 0), "no-candidates")
+        .when(F.col("status") == "EMPTY", "fetch-empty").when((F.col("status") == "SELECTED") & ~F.col("has_metadata"), "no-metadata").otherwise("ok")
+    )
     return df.withColumn("status", status).withColumn("reason", reason)
 
 

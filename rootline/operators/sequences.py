@@ -72,7 +72,7 @@ def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: Data
 
     The join is by the epitope's first residue and position; only positions that some epitope asks for are looked at.
     """
-    asked = epitopes.where(F.size(tokens) > 0).select(F.col(epitope).alias("epitope"), F.col(tokens).alias("tokens"), F.col(tokens)[0]["pos"].alias("pos"), F.upper(F.col(tokens)[0]["aa"]).alias("aa"))
+    asked = epitopes.where(F.size(tokens) > 0).select(F.col(epitope).alias("epitope"), F.col(tokens).alias("tokens"), F.get(tokens, F.lit(0))["pos"].alias("pos"), F.upper(F.get(tokens, F.lit(0))["aa"]).alias("aa"))
     positions = asked.select("pos").distinct()
     have = proteins.select(F.col(protein).alias("protein"), F.col(seq).alias("_s")).join(F.broadcast(positions), F.length("_s") >= F.col("pos")).withColumn("aa", F.expr("substring(_s, pos, 1)"))
     return asked.join(have, ["pos", "aa"]).where(F.forall("tokens", lambda t: (t["pos"] >= 1) & (F.substring(F.col("_s"), t["pos"], F.lit(1)) == F.upper(t["aa"])))).select("epitope", "protein")
