@@ -21,7 +21,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,22 +52,46 @@ def _undone(word: str) -> str:
     return _STRETCH.sub(r"\1", _KEEP.sub("", word.strip(_EDGE).lower().translate(_LEET)))
 
 
-@lru_cache(maxsize=200_000)
-def _units(word: str) -> tuple[int, ...]:
-    """Hashes of the word and of its beginnings."""
-    own = _plain(word)
-    return (zlib.crc32(own.encode()), *(zlib.crc32(f"{own[:n]}*".encode()) for n in _BEGIN if len(own) >= n)) if own else ()
+def _units_of(own: str) -> list[int]:
+    """Hashes of a plain word and of its beginnings."""
+    if not own:
+        return []
+    raw, n = own.encode(), len(own)
+    if len(raw) == n:
+        return [zlib.crc32(raw), *[zlib.crc32(raw[:k] + b"*") for k in _BEGIN if n >= k]]
+    return [zlib.crc32(raw), *[zlib.crc32(own[:k].encode() + b"*") for k in _BEGIN if n >= k]]
+
+
+def _units(word: str) -> list[int]:
+    return _units_of(_plain(word))
 
 
-@lru_cache(maxsize=200_000)
 def _marks(word: str) -> tuple[float, ...]:
     """Letters, capitals, '!', '?', other signs; all in capitals; second person; obfuscated; listed insult, undone only."""
-    letters = sum(c.isalpha() for c in word)
-    caps = sum(c.isupper() for c in word)
-    own, undone = _plain(word), _undone(word)
     inner = word.strip(_EDGE)
-    odd = letters > 0 and any(not c.isalpha() and c not in "'-’." for c in inner) or bool(_STRETCH.search(inner))
-    return (letters, caps, word.count("!"), word.count("?"), sum(not c.isalnum() for c in word), letters > 1 and caps == letters, own in SECOND, odd, own in INSULTS, undone in INSULTS and own not in INSULTS)
+    own = inner.lower()
+    if inner.isalpha():  # most words: only their edges hold signs, and no sign stands for a letter
+        letters, caps = len(inner), 0 if inner == own else sum(map(str.isupper, inner))
+        odd = _STRETCH.search(own) is not None
+        undone = odd and _undone(word) in INSULTS and own not in INSULTS
+        edge = len(word) > letters
+        return (letters, caps, edge and word.count("!"), edge and word.count("?"), len(word) - letters, letters > 1 and caps == letters, own in SECOND, odd, own in INSULTS, undone)
+    letters, caps = sum(map(str.isalpha, word)), sum(map(str.isupper, word))
+    odd = letters > 0 and any(not c.isalpha() and c not in "'-’." for c in inner) or _STRETCH.search(inner) is not None
+    undone = _undone(word) in INSULTS and own not in INSULTS
+    return (letters, caps, word.count("!"), word.count("?"), len(word) - sum(map(str.isalnum, word)), letters > 1 and caps == letters, own in SECOND, odd, own in INSULTS, undone)
+
+
+def _weights(vocabulary: list[str], lexicon: dict[int, float]) -> np.ndarray:
+    """The heaviest lexicon entry of each word."""
+    seen: dict[str, float] = {"": 0.0}
+    out = np.zeros(len(vocabulary))
+    for i, word in enumerate(vocabulary):
+        own = word.strip(_EDGE).lower()
+        if own not in seen:
+            seen[own] = max([lexicon[u] for u in _units_of(own) if u in lexicon], default=0.0)
+        out[i] = seen[own]
+    return out
 
 
 def fit_lexicon(docs: list[tuple[np.ndarray, int]], share: float = 0.5, prior: float = 2.0) -> dict[int, float]:
@@ -93,9 +116,9 @@ def _fold(doc_id) -> int:
 def features(texts: pa.Array, lexicon: dict[int, float]) -> np.ndarray:
     words = Words(texts)
     marks = np.array([_marks(w) for w in words.vocabulary], np.float64).reshape(-1, 10)
-    weight = np.array([max((lexicon.get(u, 0.0) for u in _units(w)), default=0.0) for w in words.vocabulary], np.float64)
+    weight = _weights(words.vocabulary, lexicon)
     n = np.maximum(words.count, 1)
-    total = np.stack([words.per_doc(marks[words.code, k]) for k in range(10)])
+    total = np.stack([words.per_doc(np.ascontiguousarray(marks[:, k])[words.code]) for k in range(10)])
     each = weight[words.code]
     hits = np.flatnonzero((each > 0) | (marks[words.code, 8] > 0))
     strongest = np.zeros(words.docs)
