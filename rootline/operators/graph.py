@@ -7,21 +7,14 @@ lost executors.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rootline.operators.shared import shared_table
+
 
-def _stored(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rootline-"))
-    path = f"{sc.getCheckpointDir()}/graph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _shared(df: DataFrame) -> DataFrame:
+    return shared_table(df, "graph")
 
 
 def closure(edges: DataFrame, seeds: DataFrame | None = None, down: bool = True, most: int = 64) -> DataFrame:
@@ -34,11 +27,11 @@ def closure(edges: DataFrame, seeds: DataFrame | None = None, down: bool = True,
     step = edges.where("child is not null and parent is not null").select(F.col(near).alias("at"), F.col(far).alias("to")).distinct()
     if seeds is None:
         seeds = step.select(F.col("at").alias("node")).union(step.select(F.col("to").alias("node")))
-    reached = _stored(seeds.select(F.col("node").alias("seed"), F.col("node").alias("at"), F.lit(0).alias("depth")).distinct())
+    reached = _shared(seeds.select(F.col("node").alias("seed"), F.col("node").alias("at"), F.lit(0).alias("depth")).distinct())
     frontier = reached
     for depth in range(1, most + 1):
         new = frontier.join(step, "at").select("seed", F.col("to").alias("at")).distinct()
-        new = _stored(new.join(reached, ["seed", "at"], "left_anti").withColumn("depth", F.lit(depth)))
+        new = _shared(new.join(reached, ["seed", "at"], "left_anti").withColumn("depth", F.lit(depth)))
         if new.isEmpty():
             pair = ("seed", "at") if down else ("at", "seed")
             return reached.select(F.col(pair[0]).alias("ancestor"), F.col(pair[1]).alias("node"), "depth")
@@ -50,10 +43,10 @@ def reachable(edges: DataFrame, seeds: DataFrame, down: bool = True) -> DataFram
     """(node): all that the seeds reach together, themselves included; carries no seed, so it stays as small as the graph."""
     near, far = ("parent", "child") if down else ("child", "parent")
     step = edges.select(F.col(near).alias("node"), F.col(far).alias("to")).where("node is not null and to is not null").distinct()
-    reached = _stored(seeds.select("node").distinct())
+    reached = _shared(seeds.select("node").distinct())
     frontier = reached
     for _ in range(64):
-        new = _stored(frontier.join(step, "node").select(F.col("to").alias("node")).distinct().join(reached, "node", "left_anti"))
+        new = _shared(frontier.join(step, "node").select(F.col("to").alias("node")).distinct().join(reached, "node", "left_anti"))
         if new.isEmpty():
             return reached
         reached, frontier = reached.union(new), new

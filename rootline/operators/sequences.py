@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rootline.operators.shared import shared_table
+
 #: BLOSUM62 (Henikoff and Henikoff 1992), rows and columns in this order.
 LETTERS = "ARNDCQEGHILKMFPSTWYVBZX*"
 BLOSUM62 = """
@@ -54,12 +56,15 @@ def kmers(seq: Column, k: int) -> Column:
     return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))
 
 
-def peptide_join(queries: DataFrame, query: str, proteins: DataFrame, protein: str, seq: str, k: int = 5) -> DataFrame:
+def peptide_join(queries: DataFrame, query: str, proteins: DataFrame, protein: str, seq: str, k: int = 5, most_broadcast: int = 200_000) -> DataFrame:
     """(query, protein, start, end) for every occurrence, overlapping ones too; positions from 1, inclusive."""
     index = proteins.select(F.col(protein).alias("protein"), F.posexplode(kmers(F.col(seq), k)).alias("at", "kmer")).select("protein", (F.col("at") + 1).alias("pos"), "kmer")
     own = queries.select(F.col(query).alias("query")).where(F.length(query) >= k).distinct()
     parts = own.select("query", F.posexplode(kmers(F.col("query"), k)).alias("at", "kmer")).select("query", (F.col("at") + 1).alias("offset"), "kmer")
-    counts = index.join(parts.select("kmer").distinct(), "kmer", "left_semi").groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
+    asked = parts.select("kmer").distinct()
+    # few asked k-mers are broadcast, so that of the index only what they meet is ever shuffled; many are joined by shuffle
+    index = shared_table(index.join(F.broadcast(asked) if asked.count() <= most_broadcast else asked, "kmer", "left_semi"), "kmers")
+    counts = index.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
     # a k-mer that no sequence has ends the search for its query: its count is 0, and so is its join
     anchor = parts.join(counts, "kmer", "left").groupBy("query").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "kmer")).alias("a")).select("query", "a.offset", "a.kmer")
     hits = index.join(anchor, "kmer").where("pos >= offset").select("query", "protein", (F.col("pos") - F.col("offset") + 1).alias("start"))
