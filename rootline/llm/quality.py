@@ -31,7 +31,7 @@ from rootline.llm.words import Words, bounded
 BITS = 18
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def _faces(word: str) -> tuple[int, int]:
     """Hashes of a word without case and outer punctuation, and of its shape."""
     core = word.strip(_OUTER)

@@ -33,7 +33,7 @@ class Words:
         return np.bincount(self.doc, weights, self.docs)
 
 
-def bounded(batches, most_bytes: int = 8_000_000):
+def bounded(batches, most_bytes: int = 2_000_000):
     """Batches cut so that a part's texts (second column) have about so many bytes at most; a longer text stands alone."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
