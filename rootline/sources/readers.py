@@ -57,7 +57,7 @@ def fasta_header(h: Column) -> Column:
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
     """(path, header, sequence): one row a record; empty files and other text give no rows."""
-    raw = spark.read.text(path, lineSep="\n>").select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^>", "").alias("r"), F.col("value").startswith(">").alias("marked"), F.col("_metadata.file_block_start").alias("at"))
+    raw = spark.read.text(path, lineSep="\n>").select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^>", "").alias("r"))
     row = raw.where(F.col("r").contains("\n")).select("path", F.split_part("r", F.lit("\n"), F.lit(1)).alias("header"), F.regexp_replace(F.regexp_replace("r", r"^[^\n]*\n", ""), r"\s", "").alias("sequence"))
     return row.where(F.col("sequence").rlike("^[A-Za-z*-]+$"))
 
@@ -159,11 +159,7 @@ def candidate_files(spark: SparkSession, folders: DataFrame, files: DataFrame, r
 
 
 def sql_read(spark: SparkSession, views: dict[str, DataFrame], sql: str) -> DataFrame:
-    """A SQL query over frames."""
-    return spark.sql(sql, **views) if views and "{" in sql else _over_views(spark, views, sql)
-
-
-def _over_views(spark: SparkSession, views: dict[str, DataFrame], sql: str) -> DataFrame:
+    """A SQL query over frames, each a temporary view under its name."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return spark.sql(sql)

@@ -32,7 +32,7 @@ MANUAL_PARENTS = schema("Organism ID,Organism Name,Accession,Name,Parent Databas
 MANUAL_SYNONYMS = schema("Organism ID,Organism Name,Database,Accession,Name,Synonyms")
 ALLERGENS = schema("SpeciesID:d,Name,Sequence,Species")
 STATEMENTS = schema("assertion:i,retraction:i,graph,subject,predicate,object,datatype,annotation")
-CORE = schema("curie,label,label_source,iedb_synonyms,parent,parent_label,level,use_other".replace("iedb_", ""))
+CORE = schema("curie,label,label_source,synonyms,parent,parent_label,level,use_other")
 SELECTION_REPORT = schema("Species ID,Species Name,Status,Proteome ID")
 MESSAGES = schema("table,row,column,value,level,rule,message")
 
