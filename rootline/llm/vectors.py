@@ -1,14 +1,15 @@
-"""Embedding near-dedup by sorted projection passes.
+"""Embedding near-dedup by sign-projection passes.
 
-Distinct vectors are ordered, once for each pass, by the concatenated signs of random projections; each vector is
-compared with the ``window`` vectors before it, and pairs whose cosine in double precision reaches the threshold are
-united across the passes. A pass emits a spanning forest of the links it verified, not the links. The number of passes
-follows from the number of vectors, so that a pair at the threshold is missed in all passes with probability ``miss``
-at most: a pass finds it if the first log2(n / window) signs agree.
+Each pass puts distinct vectors with equal signs of ``depth`` random projections into one bucket, and all pairs of a
+bucket are compared; those whose cosine in double precision reaches the threshold are united across the passes. The
+depth follows from the number of vectors, so that evenly spread ones leave about ``window`` in a bucket; the number of
+passes follows from the depth alone, so that a pair at the threshold is missed in all passes with probability ``miss``
+at most, however the other vectors lie and whatever the number of partitions. Buckets of more than ``cell`` vectors are
+cut into parts, and every two parts meet in a cell of bounded size. A cell emits a spanning forest of the links it
+verified, not the links.
 
-Windows are bounded, so a dense group's links are more than a pass sees. The exact way for them: every link of a
-vector lies in its component, so links are counted by comparing the members of each component, in cells of two bounded
-parts of it; a cell returns a count for each vector. Copies of a vector are one node with a weight.
+Every link of a vector lies in its component, so links are counted by comparing the members of each component, in cells
+of two bounded parts of it; a cell returns a count for each vector. Copies of a vector are one node with a weight.
 
 Defined cases: a vector that is null, empty or zero, or holds null or non-finite components, links with nothing and is
 kept; vectors of different lengths don't link; repeated rows are copies; rows with a null vec_id count as links of
@@ -23,19 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rootline.llm.common import stored
 from rootline.llm.components import components
 
-_BITS = 40
+
+def depth_for(n: int, window: int) -> int:
+    return max(0, math.ceil(math.log2(max(n, 1) / window)))
 
 
 def passes_for(n: int, cosine: float, window: int, miss: float) -> int:
-    agree = 1 - math.acos(cosine) / math.pi
-    found = agree ** max(1.0, math.log2(max(n, 2) / window))
-    return max(4, math.ceil(math.log(miss) / math.log1p(-found)))
+    found = (1 - math.acos(cosine) / math.pi) ** depth_for(n, window)
+    return max(1, math.ceil(math.log(miss) / math.log1p(-found))) if found < 1 else 1
 
 
 def _unit(column: pa.Array) -> np.ndarray:
@@ -53,53 +55,62 @@ def _lengths(batch: pa.RecordBatch, name: str) -> Iterator[tuple[np.ndarray, pa.
         yield d, batch.filter(pa.array(n == d)) if (n != d).any() else batch
 
 
-def _coder(passes: int, seed: int):
+def _coder(passes: int, depth: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
             for d, rows in _lengths(batch, "v"):
                 if d not in planes:
-                    planes[d] = np.random.default_rng([seed, d]).standard_normal((d, passes * _BITS))
-                signs = (_unit(rows.column("v")) @ planes[d] > 0).reshape(rows.num_rows, passes, _BITS)
-                codes = signs @ (1 << np.arange(_BITS - 1, -1, -1, dtype=np.int64))
+                    planes[d] = np.random.default_rng([seed, d]).standard_normal((d, passes * depth))
+                signs = (_unit(rows.column("v")) @ planes[d] > 0).reshape(rows.num_rows, passes, depth)
+                codes = signs @ (1 << np.arange(depth, dtype=np.int64))
                 for p in range(passes):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, d * 1024 + p)), pa.array(codes[:, p]), rows.column("node"), rows.column("v")], ["p", "code", "node", "v"])
 
     return run
 
 
-def _windows(cosine: float, window: int):
+def _forest(near: np.ndarray, node: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges of a spanning forest of the links in a symmetric matrix."""
+    rest = np.flatnonzero(near.any(axis=1))
+    while rest.size > 1:
+        front, rest = rest[:1], rest[1:]
+        while front.size and rest.size:
+            link = near[np.ix_(front, rest)]
+            got = link.any(axis=0)
+            yield node[front[link[:, got].argmax(axis=0)]] if got.any() else node[:0], node[rest[got]]
+            front, rest = rest[got], rest[~got]
+
+
+def _linker(cosine: float):
+    """Reads rows (p, code, i, j, side, node, v) in the order of cells (p, code, i, j); gives verified links."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, vec, ids, lab, fresh = None, None, None, None, 0
+        now, held = None, []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            if sum(len(h[0]) for h in held) > 1:
+                v, node, side = (np.concatenate([h[k] for h in held]) for k in range(3))
+                near = v @ v.T >= cosine
+                if now[2] == now[3]:
+                    np.fill_diagonal(near, False)
+                else:
+                    near &= side[:, None] != side[None, :]
+                for a, b in _forest(near, node):
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
         for batch in batches:
-            ps, edges = batch.column(0).to_numpy(), ([], [])
-            cut = [0, *(np.flatnonzero(np.diff(ps)) + 1).tolist(), ps.size]
+            if not batch.num_rows:
+                continue
+            cells = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(4)])
+            cut = [0, *(np.flatnonzero((cells[:, 1:] != cells[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cut[:-1], cut[1:], strict=True):
-                if a == b:
-                    continue
-                own = batch.slice(a, b - a)
-                new, names = _unit(own.column("v")), own.column("node").to_numpy()
-                if ps[a] != at:
-                    at, vec, ids, lab = ps[a], new[:0], names[:0], np.zeros(0, np.int64)
-                for i in range(0, b - a, 256):
-                    part, some = new[i : i + 256], names[i : i + 256]
-                    vec, ids = np.concatenate([vec, part]), np.concatenate([ids, some])
-                    lab = np.concatenate([lab, np.arange(fresh, fresh + len(some))])
-                    fresh += len(some)
-                    base = len(ids) - len(some)
-                    near = part @ vec.T >= cosine
-                    for k in np.flatnonzero(near[:, : base + len(some)].sum(axis=1) > 1).tolist():
-                        here = base + k
-                        to = np.flatnonzero(near[k, max(0, here - window) : here]) + max(0, here - window)
-                        labels, first = np.unique(lab[to], return_index=True)
-                        for label, j in zip(labels.tolist(), to[first].tolist(), strict=True):
-                            if label != lab[here]:
-                                edges[0].append(int(ids[here]))
-                                edges[1].append(int(ids[j]))
-                                lab[lab == label] = lab[here]
-                    if len(ids) > window:
-                        vec, ids, lab = vec[-window:], ids[-window:], lab[-window:]
-            yield pa.RecordBatch.from_arrays([pa.array(edges[0], pa.int64()), pa.array(edges[1], pa.int64())], ["a", "b"])
+                own, part = tuple(cells[:, a].tolist()), batch.slice(a, b - a)
+                if own != now:
+                    yield from links()
+                    now, held = own, []
+                held.append((_unit(part.column(6)), part.column(5).to_numpy().copy(), part.column(4).to_numpy().copy()))
+        yield from links()
 
     return run
 
@@ -128,6 +139,11 @@ def _counter(cosine: float):
     return run
 
 
+def _cells() -> Column:
+    """The cells of a row of part ``c`` of ``parts``: its part meets every other and itself."""
+    return F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, "c").alias("i"), F.greatest(k, "c").alias("j"), F.when(k >= F.col("c"), 0).otherwise(1).alias("side")))
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.95, window: int = 512, miss: float = 1e-4, cell: int = 1024, seed: int = 7) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding)."""
     spark = vectors.sparkSession
@@ -141,15 +157,19 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, window: int = 512, mi
     nodes = stored(nodes.select("v", "weight", F.coalesce("least", F.lit(2**62) + F.pmod(F.xxhash64("v"), F.lit(2**61))).alias("node")), "vector-nodes").df
 
     n = nodes.count()
-    coded = nodes.select("v", "node").mapInArrow(_coder(passes_for(n, cosine, window, miss), seed), f"p long, code long, node long, v {kind}")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = coded.repartitionByRange(parts, "p", "code", "node").sortWithinPartitions("p", "code", "node")
-    comps = stored(components(ordered.mapInArrow(_windows(cosine, window), "a long, b long"), "vector-components"), "vector-groups").df
+    depth, passes = depth_for(n, window), passes_for(n, cosine, window, miss)
+    coded = nodes.select("v", "node").mapInArrow(_coder(passes, depth, seed), f"p long, code long, node long, v {kind}")
+    crowd = coded.groupBy("p", "code").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("parts"), F.count(F.lit(1)).alias("many")).where("many > 1").drop("many")
+    crowd = stored(crowd, "vector-buckets").df
+    dealt = coded.join(crowd, ["p", "code"]).withColumn("c", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    dealt = dealt.select("p", "code", "node", "v", F.explode(_cells()).alias("x")).select("p", "code", "x.i", "x.j", "x.side", "node", "v")
+    at = ["p", "code", "i", "j"]
+    ordered = dealt.repartition(*at).sortWithinPartitions(*at)
+    comps = stored(components(ordered.mapInArrow(_linker(cosine), "a long, b long"), "vector-components"), "vector-groups").df
 
     sizes = comps.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("parts"))
     members = comps.join(sizes, "component").join(nodes, "node").select("node", "weight", "v", "component", "parts", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("c"))
-    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, "c").alias("i"), F.greatest(k, "c").alias("j"), F.when(k >= F.col("c"), 0).otherwise(1).alias("side")))
-    members = members.select("node", "weight", "v", F.col("component").alias("comp"), "parts", F.explode(cells).alias("x")).select("node", "weight", "v", "comp", "parts", "x.*")
+    members = members.select("node", "weight", "v", F.col("component").alias("comp"), "parts", F.explode(_cells()).alias("x")).select("node", "weight", "v", "comp", "parts", "x.*")
     many = max(1, -(-n // cell))
     at = F.when(F.col("parts") > 1, F.xxhash64("comp", "i", "j")).otherwise(F.pmod(F.xxhash64("comp"), F.lit(many)))
     counted = members.withColumn("at", at).groupBy("at").applyInArrow(_counter(cosine), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))

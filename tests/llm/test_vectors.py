@@ -56,3 +56,26 @@ def test_empty_table(spark):
 def test_passes_follow_the_number_of_vectors():
     n = [vectors.passes_for(10**k, 0.95, 512, 1e-4) for k in (3, 5, 7, 9)]
     assert n == sorted(n) and n[0] < n[-1]
+
+
+def planted(g, base, cosine):
+    """Each row's partner at this cosine."""
+    other = g.standard_normal(base.shape)
+    base = base / np.linalg.norm(base, axis=1, keepdims=True)
+    other -= (other * base).sum(axis=1, keepdims=True) * base
+    return cosine * base + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other, axis=1, keepdims=True)
+
+
+def missed(spark, v, pairs, **kw):
+    df = spark.createDataFrame([(i, x, 0, 1, "x", "y", "z") for i, x in enumerate(v.tolist())], SCHEMA)
+    got = {r.vec_id: r.component_id for r in vectors.near_vectors(df, **kw).collect()}
+    return sum(got[a] != got[b] for a, b in pairs)
+
+
+def test_pairs_in_a_dense_cone_are_found(spark):
+    g = np.random.default_rng(8)
+    axis = np.zeros((1, 64))
+    axis[0, 0] = 1
+    cone = planted(g, np.repeat(axis, 2000, axis=0), 0.9)
+    v = np.concatenate([cone, planted(g, cone[:400], 0.955), g.standard_normal((4000, 64))])
+    assert missed(spark, v, [(i, 2000 + i) for i in range(400)], window=32, cell=256) == 0
