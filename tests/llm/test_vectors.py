@@ -79,3 +79,15 @@ def test_pairs_in_a_dense_cone_are_found(spark):
     cone = planted(g, np.repeat(axis, 2000, axis=0), 0.9)
     v = np.concatenate([cone, planted(g, cone[:400], 0.955), g.standard_normal((4000, 64))])
     assert missed(spark, v, [(i, 2000 + i) for i in range(400)], window=32, cell=256) == 0
+
+
+def test_the_number_of_partitions_loses_no_pairs(spark):
+    g = np.random.default_rng(9)
+    base = g.standard_normal((1000, 32))
+    v = np.concatenate([base, planted(g, base, 0.951)])
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert missed(spark, v, [(i, 1000 + i) for i in range(1000)]) == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
