@@ -1,8 +1,8 @@
 """Sequence joins and alignments.
 
 Exact k-mer search anchors each query at its rarest k-mer, so a query meets the sequences once; similarity search
-counts shared k-mers (common ones weigh nothing) and aligns what is left. Alignments run once for each distinct pair
-in Arrow batches.
+aligns all distinct pairs of sequences that share k-mers and keeps the best scores. Alignments run once for each
+distinct pair in Arrow batches.
 """
 
 from __future__ import annotations
@@ -163,26 +163,29 @@ def aligned(pairs: DataFrame, a: str, b: str, local: bool = False) -> DataFrame:
     return pairs.join(done, [a, b], "left")
 
 
-def similarity_join(queries: DataFrame, query: str, qseq: str, subjects: DataFrame, subject: str, sseq: str, k: int = 3, least_shared: int = 2, top: int = 50, common: float = 0.2) -> DataFrame:
+def similarity_join(queries: DataFrame, query: str, qseq: str, subjects: DataFrame, subject: str, sseq: str, k: int = 3, least_shared: int = 2, top: int = 50) -> DataFrame:
     """The 12 alignment columns for the best subjects of each query (without E-values: they need a search space's statistics).
 
-    Subjects are those that share the most k-mers with the query, at most ``top``, a k-mer of more than ``common`` of the subjects
-    counting only where there is nothing else; each is aligned locally.
+    Every distinct subject sequence that shares ``least_shared`` distinct k-mers with the query's is aligned locally, however
+    common the k-mers are. Of the alignments the ``top`` best of each query stay: by score, then shared k-mers, then subject.
     """
-    grams = lambda df, i, s: df.select(F.col(i), F.explode(F.array_distinct(kmers(F.col(s), k))).alias("kmer"))
-    index = grams(subjects, subject, sseq)
-    n = subjects.count()
-    rare = index.groupBy("kmer").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= max(2, common * n)).select("kmer")
-    shared = grams(queries, query, qseq).join(index.join(rare, "kmer", "left_semi"), "kmer").groupBy(query, subject).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least_shared)
-    w = Window.partitionBy(query).orderBy(F.col("shared").desc(), subject)
-    pairs = shared.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top).join(queries.select(query, F.col(qseq).alias("_q")), query).join(subjects.select(subject, F.col(sseq).alias("_s")), subject)
-    done = aligned(pairs.select(query, subject, "_q", "_s"), "_q", "_s", local=True)
+    qs = shared_table(queries.select(F.col(qseq).alias("_q")).where("_q is not null").distinct().withColumn("_a", F.monotonically_increasing_id()), "query-sequences")
+    ss = shared_table(subjects.where(F.col(sseq).isNotNull()).groupBy(F.col(sseq).alias("_s")).agg(F.min(subject).alias("_least")).withColumn("_b", F.monotonically_increasing_id()), "subject-sequences")
+    grams = lambda df, i, s: df.select(i, F.explode(F.array_distinct(kmers(F.col(s), k))).alias("kmer"))
+    shared = grams(qs, "_a", "_q").join(grams(ss, "_b", "_s"), "kmer").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least_shared)
+    pairs = shared.join(qs, "_a").join(ss, "_b").withColumn("_x", _aligner(True)(F.col("_q"), F.col("_s"))).select("_a", "_q", "_s", "shared", "_least", "_x.*").where(F.length("aligned_a") > 0)
+    # a subject among the best has one of the first sequences, and is among the first subjects that have it
+    first = lambda df, by, *order: df.withColumn("_rn", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_rn") <= top).drop("_rn")
+    best = first(pairs, "_a", F.col("score").desc(), F.col("shared").desc(), "_least")
+    named = first(subjects.select(subject, F.col(sseq).alias("_s")).distinct(), "_s", subject)
+    found = best.join(queries.select(query, F.col(qseq).alias("_q")).distinct(), "_q").join(named, "_s")
+    done = first(found, query, F.col("score").desc(), F.col("shared").desc(), subject)
     cols = F.arrays_zip(F.split("aligned_a", "").alias("x"), F.split("aligned_b", "").alias("y"))
     same = F.size(F.filter(cols, lambda c: c["x"] == c["y"]))
     gaps = F.size(F.filter(cols, lambda c: (c["x"] == "-") | (c["y"] == "-")))
     opened = F.size(F.regexp_extract_all("aligned_a", F.lit("-+"), F.lit(0))) + F.size(F.regexp_extract_all("aligned_b", F.lit("-+"), F.lit(0)))
     length = F.length("aligned_a")
-    return done.where(length > 0).select(
+    return done.select(
         F.col(query).alias("Query"), F.col(subject).alias("Subject"), F.round(100 * same / length, 3).alias("% Identity"), length.cast("long").alias("Alignment Length"),
         (length - same - gaps).cast("long").alias("Mismatches"), opened.cast("long").alias("Gap Openings"), F.col("start_a").cast("long").alias("Query Start"),
         (F.col("start_a") + F.length(F.replace("aligned_a", F.lit("-"), F.lit(""))) - 1).cast("long").alias("Query End"), F.col("start_b").cast("long").alias("Subject Start"),

@@ -199,6 +199,26 @@ def test_similarity_search_finds_the_relative(spark):
     assert got[("q1", "s2")]["Mismatches"] == 2
 
 
+def test_similarity_search_finds_members_of_a_large_family(spark):
+    r = random.Random(4)
+    seq = lambda n: "".join(r.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(n))
+    family = seq(40)
+    s = [(f"f{i:02}", family[:i] + "W" + family[i + 1 :]) for i in range(10)] + [(f"x{i:02}", seq(40)) for i in range(20)]
+    df = spark.createDataFrame(s, "sid string, ss string")
+    q = spark.createDataFrame([s[3]], "qid string, qs string")
+    got = {x.Subject: x["Bit Score"] for x in sequences.similarity_join(q, "qid", "qs", df, "sid", "ss").collect()}
+    assert {i for i, _ in s[:10]} <= set(got) and got["f03"] == max(got.values())
+
+
+def test_similarity_search_keeps_the_best_scores(spark):
+    query = "MIKEVDLIRWIAEYIKGVDHIQAFINCVPTIYRLISGVEM"
+    far = query.translate(str.maketrans("IVDE", "VIED"))  # scores high, shares few 3-mers
+    s = [("z", far), ("y", far)] + [(f"a{i}", query[i : i + 12]) for i in range(8)]
+    df = spark.createDataFrame(s, "sid string, ss string")
+    got = sequences.similarity_join(spark.createDataFrame([("q", query)], "qid string, qs string"), "qid", "qs", df, "sid", "ss", top=2).collect()
+    assert sorted(x.Subject for x in got) == ["y", "z"]
+
+
 # -- assignment and mapping -------------------------------------------------------------------------------------------
 
 PROTEOME = "Database string, Gene string, `Protein ID` string, `Entry Name` string, `Protein Name` string, `Protein Existence Level` int, Sequence string"
