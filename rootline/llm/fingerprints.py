@@ -2,7 +2,7 @@
 
 A text is a multiset of paragraphs: its lines, those of more than ``most_words`` words cut into runs of that many.
 Each paragraph is hashed to a wide vector, and the vectors are summed, modulo 2^32 in the identity lanes and in
-counters of 21 bits in the sign lanes. The sum doesn't depend on the order; adding or removing a paragraph adds or
+counters of 32 bits in the sign lanes, two to a long. The sum doesn't depend on the order; adding or removing a paragraph adds or
 subtracts its vector, so fingerprints of unions and edits follow from fingerprints alone (``combine``). Identity lanes
 tell equal multisets from others. Each sign lane counts the paragraphs whose bit there is set; with the number of
 paragraphs this is a sum of +1 and -1, and the mean square of the differences of two such sums estimates the squared
@@ -11,7 +11,8 @@ distance of the two multisets: likeness is 1 - |A - B|^2 / (|A|^2 + |B|^2), from
 Defined cases: a null text is the empty text, with one empty paragraph; the next document is the one with the next
 lower id (ties: by text hash, then any), nulls last, and after the last one comes the first, so a lone document is
 its own next one; repeated rows are rows of their own; an empty table gives an empty table; other columns are not
-read. A paragraph may repeat 2^21 times before counters of neighbouring lanes touch; that costs likeness only.
+read. No sum can overflow: a text has less than 2^31 bytes, so less than 2^31 paragraphs, and every counter and every sum
+of 32-bit identity lanes has room for that many.
 """
 
 from __future__ import annotations
@@ -21,17 +22,17 @@ from pyspark.sql import functions as F
 
 from rootline.llm.common import stored, text_or_empty
 
-_LANES = 21  # longs for a hash; each holds three counters of 21 bits
+_LANES = 32  # longs for a hash; each holds two counters of 32 bits
 _HASHES = 2
 _IDENTITY = 8
-_MASK = 1 | 1 << 21 | 1 << 42
+_MASK = 1 | 1 << 32
 WIDE = [*(f"s{h}_{i}" for h in range(_HASHES) for i in range(_LANES)), *(f"m{i}" for i in range(_IDENTITY))]
 
 
 def paragraphs(text: Column, most_words: int = 16) -> Column:
-    """The paragraphs of a text, as an array; white space at a run's end stays with it."""
-    runs = lambda line: F.when(line == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all(line, F.lit(rf"\s*+(?:\S++\s*+){{1,{most_words}}}+|\s++"), F.lit(0)))
-    return F.flatten(F.transform(F.split(text, "\n", -1), runs))
+    """The paragraphs of a text, as an array; each line ends with its line feed, the last one with one of its own."""
+    space = r"[^\S\n]*+"
+    return F.regexp_extract_all(F.concat(text, F.lit("\n")), F.lit(rf"(?:{space}\S++){{1,{most_words}}}+{space}\n?+|{space}\n"), F.lit(0))
 
 
 def multiset_hash(rows: DataFrame, keys: list[str], paragraph: str = "paragraph") -> DataFrame:
@@ -74,18 +75,18 @@ def text_of(fp: Column) -> Column:
 
 def _lane(x: Column, n: Column, shift: int) -> Column:
     """The sum of +1 and -1 in a lane: twice the set bits less the number of paragraphs."""
-    return (2 * F.shiftrightunsigned(x, shift).bitwiseAND(F.lit(2**21 - 1)) - n).cast("double")
+    return (2 * F.shiftrightunsigned(x, shift).bitwiseAND(F.lit(2**32 - 1)) - n).cast("double")
 
 
 def _square(fp: Column) -> Column:
     """The squared length of a multiset, times the number of lanes."""
-    return F.aggregate(fp["signs"], F.lit(0.0), lambda a, x: a + sum((_lane(x, fp["n"], s) * _lane(x, fp["n"], s) for s in (0, 21, 42)), F.lit(0.0)))
+    return F.aggregate(fp["signs"], F.lit(0.0), lambda a, x: a + sum((_lane(x, fp["n"], s) * _lane(x, fp["n"], s) for s in (0, 32)), F.lit(0.0)))
 
 
 def _distance(a: Column, b: Column) -> Column:
     """The squared length of the difference of two multisets, times the number of lanes."""
     gap = lambda x, y, s: (_lane(x, a["n"], s) - _lane(y, b["n"], s)) * (_lane(x, a["n"], s) - _lane(y, b["n"], s))
-    return F.aggregate(F.zip_with(a["signs"], b["signs"], lambda x, y: gap(x, y, 0) + gap(x, y, 21) + gap(x, y, 42)), F.lit(0.0), lambda t, x: t + x)
+    return F.aggregate(F.zip_with(a["signs"], b["signs"], lambda x, y: gap(x, y, 0) + gap(x, y, 32)), F.lit(0.0), lambda t, x: t + x)
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -77,8 +77,14 @@ def test_order_insert_and_delete(spark):
     assert (r.i, r.d) == (at["ab"].t, at["a"].t)
 
 
+def test_very_many_equal_paragraphs_do_not_overflow(spark):
+    lines = "x\n" * 2_500_000
+    got = {r.doc_id: r for r in fp.fingerprint_documents(docs_of(spark, [(2, lines), (1, lines), (0, "y")])).collect()}
+    assert got[2].fingerprint == got[1].fingerprint and got[2].near_next == 1.0 and got[1].near_next < 0.1
+
+
 def test_paragraphs_cover_the_text(spark):
     texts = ["", "a", "a b c d e", " a  b\tc ", "x\n\ny", "   ", "w " * 100]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     for t, p in df.select("text", fp.paragraphs(F.col("text"), 2).alias("p")).collect():
-        assert "".join(p) == t.replace("\n", "") and all(len(x.split()) <= 2 for x in p)
+        assert "".join(p) == t + "\n" and all(len(x.split()) <= 2 and "\n" not in x[:-1] for x in p)
