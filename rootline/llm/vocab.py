@@ -12,6 +12,8 @@ import tiktoken
 #: What Unicode calls white space, as the tokenizers' pattern means it.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+_LONG_RUN = regex.compile(rf"[{WHITE}]{{10000}}")
+
 
 def _byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on."""
@@ -47,10 +49,10 @@ def encoder(path: str, pattern: str) -> tiktoken.Encoding:
 def encode(text: str, path: str, pattern: str) -> list[int]:
     """The ids of a text; special tokens' strings are ordinary text."""
     enc = encoder(path, pattern)
-    try:
+    if _LONG_RUN.search(text) is None:
         return enc.encode_ordinary(text)
-    except Exception:  # the library's regex gives up on very long runs; the split is the same piece by piece
-        return [i for x in pieces_of(pattern).findall(text) for i in enc._encode_single_piece(x)]
+    # the library's regex overflows its stack on very long runs of white space; the split is the same piece by piece
+    return [i for x in pieces_of(pattern).findall(text) for i in enc._encode_single_piece(x)]
 
 
 @lru_cache(maxsize=4)
