@@ -1,14 +1,15 @@
-"""Line dedup: a sharded minimal perfect hash over frequent line hashes indexes fingerprint and count arrays.
+"""Line dedup: a sharded minimal perfect hash over distinct line hashes indexes fingerprint and count arrays.
 
 A line's key is the line without the white space ``[\\x20\\x09-\\x0D]`` at its ends and with A-Z in lower case. A key
 of at least ``min_chars`` code points found in at least ``min_docs`` documents loses all its lines in every document.
 
 Three steps: (1) each document's distinct line hashes are counted, combined first inside a batch, then on the map
-side, then by key; (2) keys at the threshold or above go to shards of a bounded number of keys, and a task for each
-shard builds its perfect hash with a fingerprint and a count at each slot; (3) documents probe the arrays. Arrays are
-broadcast only in groups of ``broadcast_mb`` at most, measured first; where they are more, the documents probe one
-group after the other, so no task ever holds more than one group. A line whose fingerprint isn't the one at its slot
-is not a frequent line. Keys below the threshold need no entry: what the arrays don't hold stays.
+side, then by key; (2) the distinct keys that repeat go to shards of a bounded number of keys, and a task for each shard
+builds its perfect hash with a fingerprint and a count at each slot; (3) documents probe the arrays, read the count of
+each line and compare it with the threshold. Keys of one document only need no entry: what the arrays don't hold stays,
+as does a line whose fingerprint isn't the one at its slot. Arrays are broadcast only in groups of ``broadcast_mb`` at
+most, measured first. Where they are more, each group is probed in turn and gives the marks of the texts that it hits;
+the marks, not the texts, are written, and joined to the texts once.
 
 Defined cases: a null or empty text is one empty line; empty keys (white space only) always stay when
 ``min_chars`` >= 1; every row counts as a document of its own, repeated ids included; a text that loses all its lines
@@ -19,14 +20,16 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rootline.llm.common import stored
+from rootline.llm.common import stored, text_marks
 from rootline.llm.mph import Index
 
 _WHITE = b" \t\n\x0b\x0c\r"
@@ -67,10 +70,10 @@ def _counter(min_chars: int):
     return count
 
 
-def frequent_lines(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
-    """(h1, h2, n): the two hashes of each line key found in at least min_docs documents."""
+def repeated_lines(docs: DataFrame, min_chars: int, least: int = 2) -> DataFrame:
+    """(h1, h2, n): the two hashes of each line key found in at least ``least`` documents, and in how many."""
     each = docs.select("text").mapInArrow(_counter(min_chars), "h1 long, h2 long, n long")
-    return each.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
+    return each.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
 def _build(key: tuple, t: pa.Table) -> pa.Table:
@@ -83,61 +86,76 @@ def _build(key: tuple, t: pa.Table) -> pa.Table:
     prints, counts = np.zeros(first.size, "<u8"), np.zeros(first.size, "<u4")
     prints[at] = h2[first]
     counts[at] = np.minimum(t["n"].to_numpy()[first], 2**32 - 1)
-    blob = pickle.dumps((index, prints, counts, {(int(a), int(b)) for a, b in zip(h1[rest], h2[rest], strict=True)}))
+    others = {(int(a), int(b)): int(n) for a, b, n in zip(h1[rest], h2[rest], t["n"].to_numpy()[rest], strict=True)}
+    blob = pickle.dumps((index, prints, counts, others))
     return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "blob": pa.array([blob], pa.binary()), "size": pa.array([len(blob)], pa.int64())})
 
 
-def line_index(frequent: DataFrame) -> tuple[DataFrame, int]:
+def line_index(lines: DataFrame) -> tuple[DataFrame, int]:
     """The arrays by shard (shard, blob, size) and the number of shards."""
-    n = frequent.count()
+    n = lines.count()
     shards = max(1, -(-n // _SHARD_KEYS))
-    split = frequent.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int"))
+    split = lines.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int"))
     return split.groupBy("shard").applyInArrow(_build, "shard int, blob binary, size long"), shards
 
 
-def _hit(h: np.ndarray, arrays: dict[int, bytes], shards: int, loaded: dict) -> np.ndarray:
-    """Whether each pair of hashes is in the arrays at hand."""
+def _counts(h: np.ndarray, arrays: dict[int, bytes], shards: int, loaded: dict) -> np.ndarray:
+    """The count of each pair of hashes in the arrays at hand; 0 where they don't hold it."""
     of = np.mod(np.ascontiguousarray(h[:, 0]).view("<i8"), shards)
-    out = np.zeros(len(h), bool)
+    out = np.zeros(len(h), np.int64)
     for shard in np.unique(of).tolist():
         if shard in arrays:
             if shard not in loaded:
                 loaded[shard] = pickle.loads(arrays[shard])
-            index, prints, _, rest = loaded[shard]
+            index, prints, counts, rest = loaded[shard]
             rows = np.flatnonzero(of == shard)
             at = index.find(np.ascontiguousarray(h[rows, 0]))
-            ok = at >= 0
-            ok[ok] = prints[at[ok]] == h[rows[ok], 1]
+            own = np.flatnonzero(at >= 0)
+            own = own[prints[at[own]] == h[rows[own], 1]]
+            out[rows[own]] = counts[at[own]]
             if rest:
-                ok |= np.fromiter(((int(a), int(b)) in rest for a, b in h[rows]), bool, rows.size)
-            out[rows] = ok
+                for r in rows[out[rows] == 0].tolist():
+                    out[r] = rest.get((int(h[r, 0]), int(h[r, 1])), 0)
     return out
 
 
-def _prober(arrays, shards: int, min_chars: int, last: bool):
+def _gone(texts: list[bytes | None], arrays, shards: int, min_docs: int, min_chars: int, loaded: dict) -> list[np.ndarray]:
+    """For each text, which of its lines the arrays count in min_docs documents or more."""
+    keys = [_keys(t) for t in texts]
+    flat = [k for own in keys for k in own]
+    drop = (_counts(_hashes(flat), arrays.value, shards, loaded) >= min_docs) & _long_enough(flat, min_chars) if flat else np.zeros(0, bool)
+    return np.split(drop, np.cumsum([len(own) for own in keys])[:-1]) if keys else []
+
+
+def _marker(arrays, shards: int, min_docs: int, min_chars: int):
+    """(text, t1, t2) -> (t1, t2, marks: a bit for each line) of the texts with a line to drop."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded: dict = {}
+        for batch in batches:
+            gone = _gone(batch.column(0).cast(pa.binary()).to_pylist(), arrays, shards, min_docs, min_chars, loaded)
+            rows = pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([np.packbits(g).tobytes() for g in gone], pa.binary())], ["t1", "t2", "marks"])
+            yield rows.filter(pa.array([bool(g.any()) for g in gone], pa.bool_()))
+
+    return mark
+
+
+def _prober(arrays, shards: int, min_docs: int, min_chars: int):
+    """Drops the lines that the arrays count often enough, or, without arrays, those that ``_marks`` marks."""
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded: dict = {}
         for batch in batches:
-            texts, was = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_marks").to_pylist()
-            keys = [_keys(t) for t in texts]
-            flat = [k for own in keys for k in own]
-            drop = (_hit(_hashes(flat), arrays.value, shards, loaded) & _long_enough(flat, min_chars)) if flat else np.zeros(0, bool)
-            kept, lines, dropped, marks, at = [], [], [], [], 0
-            for text, own, m in zip(texts, keys, was, strict=True):
-                gone = drop[at : at + len(own)]
-                if m is not None:
-                    gone = gone | np.unpackbits(np.frombuffer(m, np.uint8), count=len(own)).astype(bool)
-                at += len(own)
-                lines.append(len(own))
-                dropped.append(int(gone.sum()))
-                if last:
-                    kept.append((text or b"") if not dropped[-1] else b"\n".join(x for x, g in zip((text or b"").split(b"\n"), gone.tolist(), strict=True) if not g))
-                else:
-                    kept.append(text)
-                    marks.append(np.packbits(gone).tobytes())
-            cols = {n: batch.column(n) for n in batch.schema.names if n not in ("text", "_marks", "n_lines", "n_dropped")}
-            cols |= {"text": pa.array(kept, pa.binary()).cast(pa.string()), "_marks": pa.array(marks or [None] * len(texts), pa.binary()), "n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())}
-            yield pa.RecordBatch.from_arrays([cols[n] for n in [*batch.schema.names[:-3], "_marks", "n_lines", "n_dropped"]], [*batch.schema.names[:-3], "_marks", "n_lines", "n_dropped"])
+            texts, names = batch.column("text").cast(pa.binary()).to_pylist(), [n for n in batch.schema.names if n != "_marks"]
+            if arrays is None:
+                size = [(t or b"").count(b"\n") + 1 for t in texts]
+                gone = [np.bitwise_or.reduce([np.zeros(n, bool), *(np.unpackbits(np.frombuffer(m, np.uint8), count=n).astype(bool) for m in own or [])]) for n, own in zip(size, batch.column("_marks").to_pylist(), strict=True)]
+            else:
+                gone = _gone(texts, arrays, shards, min_docs, min_chars, loaded)
+            kept = [(t or b"") if not g.any() else b"\n".join(x for x, out in zip((t or b"").split(b"\n"), g.tolist(), strict=True) if not out) for t, g in zip(texts, gone, strict=True)]
+            cols = {n: batch.column(n) for n in names}
+            cols |= {"text": pa.array(kept, pa.binary()).cast(pa.string()), "n_lines": pa.array([g.size for g in gone], pa.int64()), "n_dropped": pa.array([int(g.sum()) for g in gone], pa.int64())}
+            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     return probe
 
@@ -146,9 +164,10 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, b
     """The documents with their kept text, n_lines (before dropping) and n_dropped; all other columns stay as they are."""
     spark = docs.sparkSession
     base = docs.drop("_marks", "n_lines", "n_dropped")
-    frequent = stored(frequent_lines(base, min_docs, min_chars), "lines").df
-    built, shards = line_index(frequent)
+    repeated = stored(repeated_lines(base, min_chars, min(2, min_docs)), "lines")
+    built, shards = line_index(repeated.df)
     built = stored(built, "line-arrays").df
+    repeated.drop()
     groups: list[list[int]] = [[]]
     room = broadcast_mb * 1e6
     for shard, size in built.select("shard", "size").orderBy("shard").toLocalIterator():
@@ -157,11 +176,16 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, b
             room = broadcast_mb * 1e6
         groups[-1].append(shard)
         room -= size
-    df = base.withColumns({"_marks": F.lit(None).cast("binary"), "n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")})
-    for i, group in enumerate(groups):
-        arrays = spark.sparkContext.broadcast({r.shard: bytes(r.blob) for r in built.where(F.col("shard").isin(group)).collect()} if group else {})
-        last = i == len(groups) - 1
-        df = df.mapInArrow(_prober(arrays, shards, min_chars, last), df.schema)
-        if not last:
-            df = stored(df, "line-marks").df
-    return df.drop("_marks")
+    schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    load = lambda group: spark.sparkContext.broadcast({r.shard: bytes(r.blob) for r in built.where(F.col("shard").isin(group)).collect()} if group else {})
+    if len(groups) == 1:
+        return base.mapInArrow(_prober(load(groups[0]), shards, min_docs, min_chars), schema)
+    marks = []
+    for group in groups:
+        arrays = load(group)
+        marks.append(stored(base.select("text", *text_marks()).mapInArrow(_marker(arrays, shards, min_docs, min_chars), "t1 long, t2 long, marks binary").distinct(), "line-marks").df)
+        arrays.destroy()
+    every = reduce(DataFrame.union, marks).groupBy(F.col("t1").alias("_t1"), F.col("t2").alias("_t2")).agg(F.collect_list("marks").alias("_marks"))  # a group gives one row a text
+    own = dict(zip(("_a1", "_a2"), text_marks(), strict=True))
+    joined = base.withColumns(own).join(every, (F.col("_a1") == F.col("_t1")) & (F.col("_a2") == F.col("_t2")), "left")
+    return joined.select(*base.columns, "_marks").mapInArrow(_prober(None, shards, min_docs, min_chars), schema)
