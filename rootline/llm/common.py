@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,14 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir. Where that is unset, a folder of our own if
+    Spark runs on this machine alone; on a cluster it must be set."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rootline-"))
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if at is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="rootline-"))
     return sc.getCheckpointDir()
 
 
-@dataclass
+@dataclass(eq=False)
 class Stored:
     """A table written to the shared folder: its rows survive lost executors and its lineage is cut."""
 
@@ -33,13 +39,45 @@ class Stored:
         spark = self.df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if self in _held:
+            _held.remove(self)
+
+    def __eq__(self, other) -> bool:
+        return isinstance(other, Stored) and self.path == other.path
+
+
+_held: list[Stored] = []
 
 
 def stored(df: DataFrame, label: str) -> Stored:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return Stored(spark.read.schema(df.schema).parquet(path), path)
+    out = Stored(spark.read.schema(df.schema).parquet(path), path)
+    _held.append(out)
+    return out
+
+
+def keep(table: Stored) -> None:
+    """Leaves a table to its caller: scratch() doesn't delete it."""
+    _held.remove(table)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Deletes what was stored inside; for callers that have written their result when they leave."""
+    before = list(_held)
+    try:
+        yield
+    finally:
+        for table in [t for t in _held if t not in before]:
+            table.drop()
+
+
+def text_marks(name: str = "text") -> tuple[Column, Column]:
+    """Two hashes, t1 and t2, that together stand for a text; a null text is the empty text."""
+    text = F.coalesce(F.col(name), F.lit(""))
+    return F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")
 
 
 def text_or_empty(name: str = "text") -> Column:
@@ -55,10 +93,10 @@ def gapless(df: DataFrame, group: str, order: list[str], spread_by: list[str], b
     """Numbers the rows of each group from 0 without gaps, in two steps so that no task needs a whole group.
 
     Each group is split into ``buckets`` hash buckets; the numbering inside a bucket starts after the rows of the buckets
-    before it. The table of those starts has at most (groups x buckets) rows, so callers keep the number of groups bounded.
+    before it. The table of those starts has (groups x buckets) rows at most; its join needs no further shuffle of the rows.
     """
     cut = df.withColumn("_cut", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int"))
     before = Window.partitionBy(group).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     starts = cut.groupBy(group, "_cut").agg(F.count(F.lit(1)).alias("_n")).select(group, "_cut", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = F.row_number().over(Window.partitionBy(group, "_cut").orderBy(*order))
-    return cut.withColumn("_at", inside).join(F.broadcast(starts), [group, "_cut"]).withColumn(name, (F.col("_start") + F.col("_at") - 1).cast("long")).drop("_cut", "_at", "_start")
+    return cut.withColumn("_at", inside).join(starts, [group, "_cut"]).withColumn(name, (F.col("_start") + F.col("_at") - 1).cast("long")).drop("_cut", "_at", "_start")

@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rootline.llm.common import Stored, stored
+from rootline.llm.common import Stored, keep, scratch, stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+# The least neighbours are stored before they are joined: a node with very many links is then one row on one side, and
+# the other side can be split, or isn't shuffled at all where the stored side is small.
+
+
+def _large_star(edges: DataFrame, label: str) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), f"{label}-least").df
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, label: str) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(down.groupBy("a").agg(F.min("b").alias("m")), f"{label}-least").df
     return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
 
 
@@ -32,7 +36,10 @@ def components(edges: DataFrame, label: str = "components", most: int = 60) -> D
     for _ in range(most):
         if was[0] == 0:
             break
-        after = stored(_small_star(_large_star(now.df)).where("a <> b").distinct(), label)
+        with scratch():
+            large = stored(_large_star(now.df, label).distinct(), label)
+            after = stored(_small_star(large.df, label).where("a <> b").distinct(), label)
+            keep(after)
         now.drop()
         now, have = after, mark(after)
         if have == was:

@@ -185,7 +185,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, b
         arrays = load(group)
         marks.append(stored(base.select("text", *text_marks()).mapInArrow(_marker(arrays, shards, min_docs, min_chars), "t1 long, t2 long, marks binary").distinct(), "line-marks").df)
         arrays.destroy()
-    every = reduce(DataFrame.union, marks).groupBy(F.col("t1").alias("_t1"), F.col("t2").alias("_t2")).agg(F.collect_list("marks").alias("_marks"))  # a group gives one row a text
-    own = dict(zip(("_a1", "_a2"), text_marks(), strict=True))
-    joined = base.withColumns(own).join(every, (F.col("_a1") == F.col("_t1")) & (F.col("_a2") == F.col("_t2")), "left")
+    every = reduce(DataFrame.union, marks).groupBy(F.col("t1").alias("_line_t1"), F.col("t2").alias("_line_t2")).agg(F.collect_list("marks").alias("_marks"))  # a group gives one row a text
+    own = dict(zip(("_line_a1", "_line_a2"), text_marks(), strict=True))
+    joined = base.withColumns(own).join(every, (F.col("_line_a1") == F.col("_line_t1")) & (F.col("_line_a2") == F.col("_line_t2")), "left")
     return joined.select(*base.columns, "_marks").mapInArrow(_prober(None, shards, min_docs, min_chars), schema)

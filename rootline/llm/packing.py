@@ -159,14 +159,21 @@ class Plan:
                 self._emit(inside, bins)
 
 
-def pack(items: DataFrame, capacity: int = 2048, buckets: int = 32) -> DataFrame:
-    """items with doc_id, piece, length, ids_crc32 -> the same with sequence_id and offset; items should be stored."""
-    plan = Plan({r.length: r.n for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}, capacity)
+def pack(items: DataFrame, capacity: int = 2048, bucket_rows: int = 100_000, broadcast_runs: int = 1_000_000) -> DataFrame:
+    """items with doc_id, piece, length, ids_crc32 -> the same with sequence_id and offset; items should be stored.
+
+    The plan has a row for each length; its runs come from lengths meeting classes of bins, so the capacity bounds them,
+    not the corpus. It is broadcast only up to ``broadcast_runs`` runs. Pieces are numbered in as many buckets as leave
+    the most frequent length about ``bucket_rows`` pieces in each.
+    """
+    lengths = items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    plan = Plan({r.length: r.n for r in lengths}, capacity)
+    buckets = max(32, -(-max((r.n for r in lengths), default=0) // bucket_rows))
     by: dict[int, list] = {}
     for run in plan.runs:
         by.setdefault(run[0], []).append(run[1:])
     runs = items.sparkSession.createDataFrame(sorted(by.items()), "length long, runs array<struct<first:long,n:long,seq:long,off:long,per:long>>")
-    placed = gapless(items, "length", ["doc_id", "piece", "ids_crc32"], ["doc_id", "piece"], buckets, "_nth").join(F.broadcast(runs), "length")
+    placed = gapless(items, "length", ["doc_id", "piece", "ids_crc32"], ["doc_id", "piece"], buckets, "_nth").join(F.broadcast(runs) if len(plan.runs) <= broadcast_runs else runs, "length")
     placed = placed.withColumn("_r", F.element_at(F.filter("runs", lambda r: r["first"] <= F.col("_nth")), -1))
     step = F.col("_nth") - F.col("_r.first")
     placed = placed.withColumns({"sequence_id": F.col("_r.seq") + F.floor(step / F.col("_r.per")).cast("long"), "offset": F.col("_r.off") + F.col("length") * (step % F.col("_r.per"))})

@@ -108,8 +108,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, rest: i
     marks = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out("doc_id", parts, rest))
     marks = marks.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # the sample has a bound of its own, so it may be broadcast; copies of an id are learned once
-    return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"])
+    # the sample has a bound of its own, so it may be broadcast; of the rows of an id the least text is learned
+    return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int = 5, rest: int = 0, sample: int = 6_000, bits: int = BITS) -> np.ndarray:

@@ -61,7 +61,7 @@ def place(key: Column, node: Node) -> Column:
     return out
 
 
-def shard_rows(docs: DataFrame, shards: int = 16, buckets: int = 256) -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = 16, buckets: int = 1024) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each document."""
     text = text_or_empty()
     rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"))

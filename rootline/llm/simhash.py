@@ -132,12 +132,16 @@ def _clearer(keep: list[int], radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clear: dict[int, np.ndarray] = {}
         for batch in batches:
-            for v, fp, node in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            vs, fps, nodes = (c.to_numpy() for c in batch.columns)
+            for v in np.unique(vs).tolist():
                 if v not in clear:
                     free = [i for i in range(BITS) if not keep[v] >> i & 1]
                     clear[v] = np.array([_signed(2**64 - 1 - sum(1 << i for i in c)) for c in combinations(free, radius)], np.int64)
-                m = clear[v]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m.size, v, np.int32)), pa.array(np.arange(m.size, dtype=np.int32)), pa.array(m & fp), pa.array(np.full(m.size, node, np.int64))], ["v", "c", "key", "node"])
+                m, own = clear[v], np.flatnonzero(vs == v)
+                for i in range(0, own.size, 16):
+                    at = own[i : i + 16]
+                    keys = (fps[at][:, None] & m[None, :]).reshape(-1)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(keys.size, v, np.int32)), pa.array(np.tile(np.arange(m.size, dtype=np.int32), at.size)), pa.array(keys), pa.array(np.repeat(nodes[at], m.size))], ["v", "c", "key", "node"])
 
     return run
 
