@@ -1,7 +1,9 @@
 """Operators 3 and 7: held-out accuracy on the driver's tables and on planted texts, calibration, and the defined cases."""
 
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,7 @@ import pytest
 from rootline.llm import boosting, quality, toxicity
 from tests.conftest import SF
 
-SF = SF.replace("0.001", "0.01")
+SF = SF.replace("0.001", "0.1")
 CASES = {"toxicity": (toxicity, 4, 2), "quality": (quality, 5, 0)}
 
 
@@ -48,13 +50,135 @@ def test_planted_labels_are_learned(spark, name):
     assert at[9000].score == at[9001].score
 
 
-@pytest.mark.parametrize("name", CASES)
-def test_tables_of_the_driver(spark, name):
+def area(scores, labels):
+    """The share of (positive, negative) pairs that the score orders rightly; ties count half."""
+    good, bad = [x for x, y in zip(scores, labels) if y], [x for x, y in zip(scores, labels) if not y]
+    return sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad))
+
+
+@pytest.mark.parametrize("name,least_area,recall,precision,rejected", [("toxicity", 0.98, 0.85, 0.9, 0.98), ("quality", 0.98, 0.98, 0.95, 0.8)])
+def test_tables_of_the_driver(spark, name, least_area, recall, precision, rejected):
+    """Floors that a constant answer misses, each class by itself; rejected: of label 0, the share that is called 0."""
     op, _, _ = CASES[name]
     label = "toxic" if name == "toxicity" else "quality"
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     rows = op.classify(docs, labels).join(labels, "doc_id").where("held_out").collect()
-    assert sum(r.predicted == r[label] for r in rows) >= 0.85 * len(rows)
+    ones, zeros = [r for r in rows if r[label]], [r for r in rows if not r[label]]
+    hit = sum(r.predicted for r in ones)
+    figures = (area([r.score for r in rows], [r[label] for r in rows]), hit / len(ones), hit / max(1, sum(r.predicted for r in rows)), sum(not r.predicted for r in zeros) / len(zeros))
+    assert all(x >= y for x, y in zip(figures, (least_area, recall, precision, rejected))), figures
+
+
+TEXTS = ["", None, "You are an IDIOT!! you 1d10t", "Plain words, of the usual kind. 12 of them", "stuuuupid @#$ (fool) you're", "A a A a zlost é É! " * 30, "\t x  \n\x0b y\x0cz ", "don't don't 3.5% e-mail U.S.A."]
+
+
+def split(text):
+    return re.findall(r"[^\t-\r ]+", text or "")
+
+
+def test_toxicity_features_and_scores_against_a_slow_version():
+    g = random.Random(3)
+    texts = TEXTS + [" ".join(g.choice(split(TEXTS[2]) + split(TEXTS[4]) + split(TEXTS[7]) + ["gro", "zlost", "A"]) for _ in range(g.randrange(40))) for _ in range(60)]
+    lexicon = {zlib.crc32(b"zlost"): 2.5, zlib.crc32(b"gro*"): 1.25, zlib.crc32(b"stu*"): 0.5}
+    edge, leet = ".,;:!?\"'()[]{}*#%&$-–—…«»“”„", dict(zip("013457@$!|", "oieastasil"))
+
+    def weight(own):
+        units = [own, *[own[:k] + "*" for k in range(3, 9) if len(own) >= k]] if own else []
+        return max([lexicon.get(zlib.crc32(u.encode()), 0.0) for u in units], default=0.0)
+
+    def undone(own):
+        kept = "".join(c for c in (leet.get(c, c) for c in own) if c.isalpha())
+        return re.sub(r"(.)\1\1+", r"\1", kept)
+
+    def slow(text):
+        words = split(text)
+        n, letters, caps, bang, ask, other, loud, second, odd, listed, hidden, found, close, total, top = len(words), 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0.0, 0.0
+        mine = [w.strip(edge).lower() for w in words]
+        for i, (w, own) in enumerate(zip(words, mine)):
+            inner = w.strip(edge)
+            a, c = sum(x.isalpha() for x in w), sum(x.isupper() for x in w)
+            letters, caps, bang, ask, other = letters + a, caps + c, bang + w.count("!"), ask + w.count("?"), other + sum(not x.isalnum() for x in w)
+            loud += a > 1 and a == c
+            second += own in toxicity.SECOND
+            odd += (a > 0 and any(not x.isalpha() and x not in "'-’." for x in inner)) or re.search(r"(.)\1\1", inner) is not None
+            listed += own in toxicity.INSULTS
+            hidden += undone(own) in toxicity.INSULTS and own not in toxicity.INSULTS
+            x = weight(own)
+            total, top = total + x, max(top, x)
+            if x or own in toxicity.INSULTS:
+                found += 1
+                close += any(m in toxicity.SECOND for m in mine[max(0, i - 5) : i + 6])
+        n1, l1 = max(n, 1), max(letters, 1)
+        return [found / n1, np.log1p(found), total / n1, top, listed / n1, second / n1, close / n1, caps / l1, loud / n1, bang / n1, ask / n1, other / n1, odd / n1, hidden / n1, np.log1p(n)]
+
+    x = toxicity.features(pa.array(texts), lexicon)
+    want = np.array([slow(t) for t in texts])
+    assert np.allclose(x, want), np.argwhere(~np.isclose(x, want))[:5]
+    y = (x[:, 0] > 0).astype(float)
+    trees, knots = boosting.fit_trees(x, y), boosting.fit_isotonic(x[:, 0], y)
+
+    def walk(row):
+        out = trees.base
+        for f, c, leaf in zip(trees.feature, trees.cut, trees.leaf):
+            at = 0
+            while at < len(f):
+                at = 2 * at + (2 if row[f[at]] >= c[at] else 1)
+            out += leaf[at - len(f)]
+        return out
+
+    def rise(v):
+        xs, ys = knots
+        if v <= xs[0]:
+            return ys[0]
+        for (a, p), (b, q) in zip(zip(xs, ys), zip(xs[1:], ys[1:])):
+            if v <= b:
+                return q if a == b else p + (q - p) * (v - a) / (b - a)
+        return ys[-1]
+
+    got = toxicity.Model(lexicon, trees, knots).score(pa.array(texts))
+    assert np.allclose(got, [rise(walk(slow(t))) for t in texts])
+
+
+def test_quality_features_and_scores_against_a_slow_version():
+    g = random.Random(4)
+    texts = TEXTS + [" ".join(g.choice(split(" ".join(filter(None, TEXTS)))) for _ in range(g.randrange(50))) for _ in range(40)]
+    weights = np.random.default_rng(2).standard_normal(2**quality.BITS + 1)
+    outer, top = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()), 2**64 - 1
+
+    def mix(a, b):
+        x = (a * 0x9E3779B97F4A7C15 & top) ^ (0xC2B2AE3D27D4EB4F * b & top)
+        x = (x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 & top
+        return x ^ (x >> 32)
+
+    def faces(w):
+        core = w.strip(outer)
+        tail = w[len(w.rstrip(outer)) :][:3]
+        case = "U" if len(core) > 1 and core.isupper() else "T" if core and core[0].isupper() else "l"
+        shape = case + str(min(len(core), 12)) + ("9" if any(c.isdigit() for c in core) else "") + ("@" if any(not (c.isalnum() or c in "_'-") for c in core) else "") + tail
+        return zlib.crc32(core.lower().encode()), zlib.crc32(("shape:" + shape).encode())
+
+    def slow(text):
+        words = split(text)
+        own = [faces(w) for w in words]
+        keys = [k for c, s in own for k in (mix(c, 1), mix(s, 2))]
+        for i in range(1, len(words)):
+            (c, s), (d, t) = own[i - 1], own[i]
+            keys += [mix(mix(c, d), 3), mix(mix(s, t), 4)] + [mix(1, 5)] * (words[i] == words[i - 1])
+        n = Counter(k >> (64 - quality.BITS) for k in keys)
+        dot = sum((m / len(keys)) ** 0.5 * float(np.float32(weights[p])) for p, m in n.items()) + 0.3 * float(np.float32(weights[-1]))
+        return 1 / (1 + np.exp(-dot))
+
+    doc, place, value = quality.features(pa.array(texts))
+    w = weights.astype(np.float32)
+    got = 1 / (1 + np.exp(-(np.bincount(doc, value * w[place], len(texts)) + 0.3 * w[-1])))
+    assert np.allclose(got, [slow(t) for t in texts], atol=1e-6)
+
+
+def test_rows_of_one_id_are_learned_by_the_least_text(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    rows = quality.labelled(docs, labels, "quality", 5, 9, 10).select("doc_id", "text", "label").collect()
+    assert sorted(map(tuple, rows)) == [(1, "a", 0), (2, None, 1)]
 
 
 @pytest.mark.parametrize("name", CASES)
