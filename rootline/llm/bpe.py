@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rootline.llm import vocab
-from rootline.llm.words import bounded
+from rootline.llm.words import bounded, tidied
 
 
 def _pack(parts: list[bytes]) -> bytes:
@@ -93,7 +93,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // most))
     shards = max(8, -(-size // (most * shard_blocks)))
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_blocker(most), "block long, docs binary").repartition(blocks, "block")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidied(_blocker(most)), "block long, docs binary").repartition(blocks, "block")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = vocab.pieces_of(pattern).findall
@@ -145,7 +145,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
             out |= {"ids": pa.array(cols[3], pa.list_(pa.int32())), "decoded": pa.array(cols[4], pa.binary())}
         return pa.table(out)
 
-    asked = dealt.mapInArrow(ask, "block long, shard int, words binary")
-    answers = asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(answer, "block long, shard int, ids binary")
+    asked = dealt.mapInArrow(tidied(ask), "block long, shard int, words binary")
+    answers = asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(tidied(answer), "block long, shard int, ids binary")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * with_ids
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, schema)

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from rootline.llm.common import stored, text_marks
 from rootline.llm.mph import Index
+from rootline.llm.words import tidied
 
 _WHITE = b" \t\n\x0b\x0c\r"
 _SHARD_KEYS = 65_536
@@ -72,7 +73,7 @@ def _counter(min_chars: int):
 
 def repeated_lines(docs: DataFrame, min_chars: int, least: int = 2) -> DataFrame:
     """(h1, h2, n): the two hashes of each line key found in at least ``least`` documents, and in how many."""
-    each = docs.select("text").mapInArrow(_counter(min_chars), "h1 long, h2 long, n long")
+    each = docs.select("text").mapInArrow(tidied(_counter(min_chars)), "h1 long, h2 long, n long")
     return each.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
@@ -179,7 +180,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, b
     schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     load = lambda group: spark.sparkContext.broadcast({r.shard: bytes(r.blob) for r in built.where(F.col("shard").isin(group)).collect()} if group else {})
     if len(groups) == 1:
-        return base.mapInArrow(_prober(load(groups[0]), shards, min_docs, min_chars), schema)
+        return base.mapInArrow(tidied(_prober(load(groups[0]), shards, min_docs, min_chars)), schema)
     marks = []
     for group in groups:
         arrays = load(group)

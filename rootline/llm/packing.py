@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from rootline.llm import vocab
 from rootline.llm.common import gapless, stored
+from rootline.llm.words import tidied
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -62,7 +63,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int = 2048, end:
                 cols, names = [*cols, pa.array(ids_of, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES + ", ids array<int>" * with_ids)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), PIECES + ", ids array<int>" * with_ids)
 
 
 class Plan:

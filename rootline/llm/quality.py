@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rootline.llm.words import Words, bounded
+from rootline.llm.words import Words, bounded, tidied
 
 BITS = 18
 
@@ -122,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int =
 
     chosen = labelled(docs, labels, label, parts, rest, sample).select("doc_id", "text", "label")
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    rows = chosen.mapInArrow(run, f"doc_id {kind}, label int, places binary, vals binary").toArrow().sort_by("doc_id")
+    rows = chosen.mapInArrow(tidied(run), f"doc_id {kind}, label int, places binary, vals binary").toArrow().sort_by("doc_id")
     learned = [(np.frombuffer(p, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(np.float64), y) for y, p, v in zip(*(rows[c].to_pylist() for c in ("label", "places", "vals")), strict=True)]
     return train(learned, bits=bits)
 
@@ -141,7 +141,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
     order = ["doc_id", "text", *(c for c in names if c not in ("doc_id", "text"))]
     chosen = docs.select(*order)
-    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, T.StructField("score", T.DoubleType())])).select(*names, "score")
+    return chosen.mapInArrow(tidied(run), T.StructType([*chosen.schema.fields, T.StructField("score", T.DoubleType())])).select(*names, "score")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **bounds) -> DataFrame:

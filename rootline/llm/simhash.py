@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from rootline.llm.common import stored
 from rootline.llm.components import components
+from rootline.llm.words import tidied
 
 BITS = 64
 
@@ -57,7 +58,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
             fps = np.fromiter((fingerprint(t, words, seed) for t in batch.column(1).cast(pa.binary()).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), "doc_id long, fp long")
 
 
 def masks(radius: int) -> list[int]:

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from rootline.llm.boosting import Trees, calibrated, fit_isotonic, fit_trees
 from rootline.llm.common import stored
 from rootline.llm.quality import held_out, labelled
-from rootline.llm.words import Words, bounded
+from rootline.llm.words import Words, bounded, tidied
 
 INSULTS = frozenset("idiot moron stupid dumb scum trash loser pathetic worthless disgusting clown jerk fool ugly filthy hate kill idiote crétin connard imbécile ordure idiota imbécil basura estúpido asqueroso dummkopf abschaum trottel arschloch widerlich".split())
 SECOND = frozenset("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine euch ihr tú ti usted ustedes vosotros".split())
@@ -158,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
                 packed.append(np.unique(np.concatenate(parts_)).astype("<u4").tobytes() if parts_ else b"")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary())], ["doc_id", "label", "units"])
 
-    rows = chosen.mapInArrow(units, f"doc_id {kind}, label int, units binary").toArrow().sort_by("doc_id")
+    rows = chosen.mapInArrow(tidied(units), f"doc_id {kind}, label int, units binary").toArrow().sort_by("doc_id")
     learned = [(np.frombuffer(u, "<u4"), y, _fold(d)) for d, y, u in zip(*(rows[c].to_pylist() for c in ("doc_id", "label", "units")), strict=True)]
     without = [fit_lexicon([(u, y) for u, y, f in learned if f != k]) for k in range(_FOLDS)]
     spread = docs.sparkSession.sparkContext.broadcast(without)
@@ -169,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
             x = each[[_fold(d) for d in batch.column(0).to_pylist()], np.arange(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
-    rows = chosen.mapInArrow(dense, f"doc_id {kind}, label int, x array<double>").toArrow().sort_by("doc_id")
+    rows = chosen.mapInArrow(tidied(dense), f"doc_id {kind}, label int, x array<double>").toArrow().sort_by("doc_id")
     y = np.array(rows["label"].to_pylist(), np.float64)
     x = np.array(rows["x"].to_pylist(), np.float64).reshape(len(y), 15)
     fold = np.random.default_rng(seed).permutation(len(y)) % 3
@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spread.value.score(batch.column(1)))], [*batch.schema.names, "score"])
 
     chosen = docs.select("doc_id", "text", *(c for c in names if c not in ("doc_id", "text")))
-    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, T.StructField("score", T.DoubleType())])).select(*names, "score")
+    return chosen.mapInArrow(tidied(run), T.StructType([*chosen.schema.fields, T.StructField("score", T.DoubleType())])).select(*names, "score")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **bounds) -> DataFrame:

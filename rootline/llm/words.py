@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+from functools import wraps
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+try:
+    _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _TRIM = None
+
 
 class Words:
     """The white-space separated words of some texts: code (place in ``vocabulary``) and doc of each, in order."""
@@ -33,7 +41,28 @@ class Words:
         return np.bincount(self.doc, weights, self.docs)
 
 
-def bounded(batches, most_bytes: int = 2_000_000):
+def tidy() -> None:
+    """Gives freed memory back to the system: a Python worker serves many tasks, and what it holds counts at the executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def tidied(run):
+    """A function for mapInArrow that tidies up after each batch and at its end."""
+
+    @wraps(run)
+    def out(batches):
+        for batch in run(batches):
+            yield batch
+            del batch
+            tidy()
+        tidy()
+
+    return out
+
+
+def bounded(batches, most_bytes: int = 1_000_000):
     """Batches cut so that a part's texts (second column) have about so many bytes at most; a longer text stands alone."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
