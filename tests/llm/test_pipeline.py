@@ -56,6 +56,45 @@ def test_one_of_each_group_stays(stages):
             assert i in kept
 
 
+def odd_documents(spark, rows):
+    """Documents with columns whose names the stages use themselves."""
+    extra = "score double, _marks binary, n_lines long, n_dropped long, grp long, _t1 long, label int, length long, low binary"
+    own = [(i, t, lang, src, None, None, None, 1, 1, 1, 1, 1, 1, None) for i, t, lang, src in rows]
+    return spark.createDataFrame(own, "doc_id long, text string, lang string, source string, n_chars long, " + extra)
+
+
+LONG = " ".join(f"word{i}" for i in range(30_000))
+ODD = [(None, None, None, None), (None, "", "en", None), (3, "", None, "s"), (4, None, "en", "s"), (5, "same text here again", "en", "s"), (5, "same text here again", "en", "s"), (5, "another text of the same id", "en", "s"), (6, "same text here again", "en", "s"), (7, LONG, "en", "s"), (8, " \t ", "en", "s")]
+
+
+@pytest.mark.parametrize("name,stage", P.STAGES)
+def test_each_stage_on_odd_rows(spark, name, stage):
+    docs = odd_documents(spark, ODD)
+    got = stage(spark, docs, SF)
+    rows = got.collect()
+    if name != "packing":
+        assert got.columns == P.COLUMNS
+    have = sorted(((r.doc_id, r.text) for r in rows) if name != "packing" else [], key=str)
+    if name in ("toxicity", "quality"):
+        op, keep = (toxicity, 0) if name == "toxicity" else (quality, 1)
+        marks = op.score(docs.select("doc_id", "text"), op.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))).collect()
+        want = [(r.doc_id, r.text) for r in marks if (r.score < 0.3) == (name == "toxicity")]
+        assert keep in (0, 1) and have == sorted(want, key=str)
+    if name == "line_dedup":
+        assert have == sorted([(i, t or "") for i, t, _, _ in ODD], key=str) and all(r.n_chars == len(r.text) for r in rows)
+    if name == "near_dedup":
+        assert have == sorted([(3, ""), (5, "same text here again"), (5, "another text of the same id"), (7, LONG)], key=str)
+    if name == "packing":
+        assert sum(r.doc_id == 5 for r in rows) == 3 and {r.length for r in rows if r.doc_id in (3, 4) or r.doc_id is None} == {1}
+        assert max(r.length for r in rows) == 2048 and sum(r.doc_id == 7 for r in rows) > 20
+
+
+@pytest.mark.parametrize("name,stage", P.STAGES)
+def test_each_stage_on_an_empty_table(spark, name, stage):
+    got = stage(spark, odd_documents(spark, ODD).where("doc_id > 99"), SF)
+    assert got.count() == 0 and (name == "packing" or got.columns == P.COLUMNS)
+
+
 def test_packing_holds_every_token(stages):
     a, b = stages["packing"]
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
