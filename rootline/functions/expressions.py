@@ -43,10 +43,6 @@ def float_text_to_long(c: Column) -> Column:
     return c.try_cast("double").try_cast("long")
 
 
-def empty_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
-
-
 def blank(c: Column) -> Column:
     """Null and the empty string alike."""
     return c.isNull() | (c == "")
@@ -78,8 +74,8 @@ def clean_sequence(c: Column) -> Column:
 
 
 def slug(c: Column) -> Column:
-    """A key for file names: runs of anything but letters, digits, dot and hyphen become one hyphen."""
-    return F.regexp_replace(F.regexp_replace(c, r"[^A-Za-z0-9.-]+", "-"), "^-+|-+$", "")
+    """A key for file names: spaces become hyphens, slashes underscores; brackets, dots and quotes go."""
+    return F.translate(c, " /().'\"", "-_")
 
 
 def escape_quotes(c: Column) -> Column:

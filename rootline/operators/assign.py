@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rootline.functions.expressions import blank, union_sorted
-from rootline.operators.rank import cascade, top1
+from rootline.functions.expressions import union_sorted
+from rootline.operators.rank import top1
 from rootline.operators.sequences import peptide_join, residue_match
 from rootline.sources.schemas import ASSIGNMENT_COLUMNS
 
@@ -40,7 +40,7 @@ def top_proteins(sources: DataFrame, alignments: DataFrame, proteome: DataFrame,
 
 def override(assigned: DataFrame, manual: DataFrame) -> DataFrame:
     """Manual parents (Accession, Parent Accession) replace what was found; their score is null."""
-    m = manual.select(F.col("Accession").alias("Source Accession"), F.col("Parent Accession").alias("_manual")).dropDuplicates(["Source Accession"])
+    m = manual.select(F.col("Accession").alias("Source Accession"), F.col("Parent Accession").alias("_manual")).groupBy("Source Accession").agg(F.min("_manual").alias("_manual"))
     hit = F.col("_manual").isNotNull()
     out = assigned.join(m, "Source Accession", "left")
     return out.withColumns({"Source Assigned Protein ID": F.coalesce("_manual", "Source Assigned Protein ID"), "Source Alignment Score": F.when(~hit, F.col("Source Alignment Score"))}).drop("_manual")
@@ -57,7 +57,7 @@ def unclassified(sources: DataFrame, known: DataFrame, skip: str = "SRC") -> Dat
 
 
 def with_receptors(assigned: DataFrame, classified: DataFrame, vertebrate: Column | None = None) -> DataFrame:
-    c = classified.select(F.col("id").alias("Source Accession"), receptor_label().alias("ARC Assignment")).dropDuplicates(["Source Accession"])
+    c = classified.select(F.col("id").alias("Source Accession"), receptor_label().alias("ARC Assignment")).groupBy("Source Accession").agg(F.min("ARC Assignment").alias("ARC Assignment"))
     out = assigned.join(c, "Source Accession", "left")
     return out if vertebrate is None else out.withColumn("ARC Assignment", F.when(vertebrate, F.col("ARC Assignment")))
 
@@ -143,7 +143,8 @@ def coverage(peptides: DataFrame, tokens: Column, candidates: DataFrame, k: int
 
 def select_proteome(candidates: DataFrame, scores: DataFrame, many: int = 20, top: int = 200) -> DataFrame:
     """The proteome of each species: the first kind that it has; of more than ``many`` the best BUSCO score (if any has one),
-    else the best coverage among the ``top`` with the most proteins, the first listed (ord) of equal ones."""
+    else the best coverage. Of equal ones the first listed (ord); where there are more than ``top``, only those with the
+    most proteins are compared, in the order of their number."""
     at = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, PROTEOME_TYPES)), F.col("Proteome Type")), F.lit(0)), F.lit(99))
     c = candidates.withColumn("_at", at)
     first = c.groupBy("species_taxon_id").agg(F.min("_at").alias("_at"))
@@ -154,15 +155,7 @@ def select_proteome(candidates: DataFrame, scores: DataFrame, many: int = 20, to
     busco = top1(c.where(by_busco), ["species_taxon_id"], [F.col("BUSCO Score").desc_nulls_last(), F.col("ord").desc()])
     w = Window.partitionBy("species_taxon_id").orderBy(F.col("Protein Count").desc_nulls_first(), "ord")
     rest = c.where(~by_busco).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top).drop("_rn")
-    best = top1(rest, ["species_taxon_id"], [F.coalesce("score", F.lit(0)).desc(), F.col("ord")])
+    best = top1(rest, ["species_taxon_id"], [F.coalesce("score", F.lit(0)).desc(), F.when(F.col("_n") > top, F.col("Protein Count")).desc_nulls_last(), F.col("ord")])
     return busco.unionByName(best).select("species_taxon_id", "Proteome ID", "Proteome Taxon ID", "Proteome Label", "Proteome Type")
 
 
-def preferred(df: DataFrame, group: str) -> DataFrame:
-    """The rows of a group's first kind of proteome, best by protein count."""
-    return cascade(df, group, "Proteome Type", PROTEOME_TYPES, [F.col("Protein Count").desc_nulls_last(), F.col("Proteome ID")])
-
-
-def usable(df: DataFrame) -> DataFrame:
-    """Peptides with a sequence."""
-    return df.where(~blank(F.col("Sequence")))

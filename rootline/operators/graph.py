@@ -90,10 +90,14 @@ def rollup(edges: DataFrame, values: DataFrame, value: str) -> DataFrame:
 
 def reduction(edges: DataFrame) -> DataFrame:
     """Edges without those implied by a path through another parent; edges of a cycle stay."""
-    above = closure(edges, down=False).where("depth > 0").select(F.col("node").alias("via"), F.col("ancestor").alias("parent"))
-    two = edges.select("child", F.col("parent").alias("via"))
-    implied = two.join(above, "via").where("via <> parent").select("child", "parent").distinct()
-    cyclic = closure(edges, down=False).where("depth > 0").select(F.col("node").alias("parent"), F.col("ancestor").alias("child"))
+    own = edges.where("child is not null and parent is not null").distinct()
+    # only an edge of a child with several parents can be implied; walks start at those parents alone
+    many = _shared(own.join(own.groupBy("child").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("child"), "child", "left_semi"))
+    above = closure(edges, many.select(F.col("parent").alias("node")).distinct(), down=False).where("depth > 0").select(F.col("node").alias("via"), F.col("ancestor").alias("above"))
+    above = _shared(above)
+    implied = many.select("child", F.col("parent").alias("via")).join(above, "via").select("child", F.col("above").alias("parent"), "via").where("via <> parent")
+    implied = many.join(implied.select("child", "parent").distinct(), ["child", "parent"], "left_semi")
+    cyclic = above.select(F.col("via").alias("parent"), F.col("above").alias("child"))
     return edges.distinct().join(implied.join(cyclic, ["child", "parent"], "left_anti"), ["child", "parent"], "left_anti")
 
 

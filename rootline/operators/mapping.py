@@ -16,12 +16,13 @@ COLUMNS = [
 
 
 def tier() -> Column:
-    """Which way a row goes: exact (positions known), linear or discontinuous by the source's alignment, local, dropped."""
-    parent = F.col("parent_accession").isNotNull() & F.col("parent_sequence").isNotNull()
+    """Which way a row goes: exact (its start in the parent is known, whatever its kind), linear or discontinuous by the
+    source's alignment, local; rows without a parent, an id or, if discontinuous, a source sequence are dropped."""
     positions = F.col("source_start").isNotNull() & F.col("source_end").isNotNull()
+    source, listed = F.col("source_sequence").isNotNull(), F.coalesce(discontinuous(F.col("epitope_seq")), F.lit(False))
     return route([
-        ("dropped", ~parent | F.col("epitope_seq").isNull()), ("exact", F.col("parent_start").isNotNull() & F.col("parent_end").isNotNull() & ~discontinuous(F.col("epitope_seq"))),
-        ("discontinuous", discontinuous(F.col("epitope_seq"))), ("linear", positions & F.col("source_sequence").isNotNull()),
+        ("dropped", F.col("parent_accession").isNull()), ("exact", F.col("parent_start").isNotNull()), ("dropped", F.col("epitope_id").isNull() | F.col("epitope_seq").isNull()),
+        ("discontinuous", listed & source), ("dropped", listed), ("linear", positions & source),
     ], "local")
 
 

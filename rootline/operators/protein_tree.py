@@ -17,12 +17,19 @@ FRAGMENTS = {"Chain": "mature protein", "Peptide": "peptide", "Propeptide": "pro
 def split_parents(assigned: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows with one parent for each source by the deterministic mode: (normal, receptors, others)."""
     best = mode(assigned.select("Source Accession", "Assigned Protein ID"), ["Source Accession"], "Assigned Protein ID").withColumnRenamed("Assigned Protein ID", "_best")
-    one = assigned.join(best, "Source Accession").where(F.col("Assigned Protein ID").eqNullSafe(F.col("_best"))).drop("_best").dropDuplicates(["Source Accession", "Assigned Protein ID"])
+    one = assigned.join(best, "Source Accession").where(F.col("Assigned Protein ID").eqNullSafe(F.col("_best"))).drop("_best")
+    one = _one_of(one, ["Source Accession", "Assigned Protein ID"])
     receptor = ~blank(F.col("ARC Assignment"))
     known = F.col("Assigned Protein ID").isNotNull()
     return one.where(~receptor & known), one.where(receptor), one.where(~receptor & ~known)
 
 
+def _one_of(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key, the same however the rows are dealt: that with the least hash of all its columns."""
+    order = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), order).alias("_row")).select("_row.*")
+
+
 def _protein(pid: Column, parent: Column) -> list[Column]:
     node = F.concat(F.lit("UP:"), pid)
     return S.owl_class(node, F.concat("Assigned Protein Name", F.lit(" (UniProt:"), pid, F.lit(")")), parent)
@@ -30,7 +37,8 @@ def _protein(pid: Column, parent: Column) -> list[Column]:
 
 def metadata(rows: DataFrame) -> DataFrame:
     """Canonical flag, synonyms, accession, address and database of each protein."""
-    p = rows.where("`Assigned Protein ID` is not null").dropDuplicates(["Assigned Protein ID"])
+    p = rows.where("`Assigned Protein ID` is not null")
+    p = _one_of(p, ["Assigned Protein ID"])
     pid = F.col("Assigned Protein ID")
     node = F.concat(F.lit("UP:"), pid)
     canonical = F.when(F.coalesce("Assigned Protein Review Status", F.lit(False)) & ~pid.contains("-"), "true").otherwise("false")

@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame
 
 
 def shared_table(df: DataFrame, label: str) -> DataFrame:
-    """The rows of df, written to and read from spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The rows of df, written to and read from spark.checkpoint.dir; where that is unset, a folder of our own if Spark runs
+    on this machine alone. On a cluster it must be set."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rootline-"))
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if at is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="rootline-"))
     path = f"{sc.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

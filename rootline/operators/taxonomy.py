@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rootline.functions.expressions import NAMES, Names, curie, lookup, taxon_id
+from rootline.functions.expressions import NAMES, Names, curie, lookup, slug, taxon_id
 from rootline.operators import graph
 from rootline.operators.rank import top1
 from rootline.operators.statements import STRING, emit, triple
@@ -166,7 +166,7 @@ def active_species(edges: DataFrame, species: DataFrame, counts: DataFrame, name
     summed = active.groupBy("ancestor").agg(F.array_join(F.transform(F.array_sort(F.collect_set("id")), lambda x: x.cast("string")), ", ").alias("Active Taxa"), F.sum("epitope_count").alias("Epitope Count"))
     out = summed.withColumnRenamed("ancestor", "node").join(species, "node").join(groups(edges, species.select("node")), "node", "left")
     number = taxon_id(F.col("node"), names).try_cast("long")
-    key = F.concat_ws("-", number.cast("string"), F.regexp_replace(F.regexp_replace("label", r"[^A-Za-z0-9]+", "-"), "^-+|-+$", ""))
+    key = F.concat_ws("-", number.cast("string"), slug(F.col("label")))
     return out.select(key.alias("Species Key"), number.alias("Species ID"), F.col("label").alias("Species Label"), "Active Taxa", F.col("group").alias("Group"), "Epitope Count")
 
 

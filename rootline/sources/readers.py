@@ -151,11 +151,16 @@ def file_sizes(spark: SparkSession, path) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"))
 
 
-def candidate_files(spark: SparkSession, folders: DataFrame, files: DataFrame, records: DataFrame) -> DataFrame:
-    """folders (species_taxon_id, proteome_id) with exists, bytes and records of their sequence files."""
+def candidate_files(species: DataFrame, folders: DataFrame, files: DataFrame, records: DataFrame) -> DataFrame:
+    """species (species_taxon_id, ...) with exists (it has a folder), and bytes and records of its sequence file.
+
+    folders (species_taxon_id) are those that exist, with or without files; files and records have a path.
+    """
     size = with_path_key(files).groupBy("species_taxon_id").agg(F.sum("bytes").alias("bytes"))
     n = with_path_key(records).groupBy("species_taxon_id").agg(F.count(F.lit(1)).alias("records"))
-    return folders.join(size, "species_taxon_id", "left").join(n, "species_taxon_id", "left").withColumn("exists", F.col("bytes").isNotNull())
+    have = folders.select("species_taxon_id", F.lit(True).alias("exists")).distinct()
+    out = species.join(have, "species_taxon_id", "left").join(size, "species_taxon_id", "left").join(n, "species_taxon_id", "left")
+    return out.withColumn("exists", F.coalesce("exists", F.lit(False)))
 
 
 def sql_read(spark: SparkSession, views: dict[str, DataFrame], sql: str) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import html
 import json
 from collections.abc import Iterable
+from email.message import EmailMessage
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rootline.operators.shared import shared_table
 from rootline.operators.statements import checked
 
 
@@ -36,7 +38,7 @@ def numbered(df: DataFrame, order: list[str], name: str = "row_number") -> DataF
     """Rows numbered from 1 in a global order, with '' as null: range partitions, then an offset for each partition."""
     kinds = dict(df.dtypes)
     clean = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) if kinds[c] == "string" else F.col(f"`{c}`") for c in df.columns])
-    indexed = clean.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    indexed = shared_table(clean.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "numbered")  # both uses below read the same ids
     parts = indexed.groupBy(F.shiftright("_id", 33).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     # one row a partition: the running sum is over as many rows as there are partitions
     before = parts.alias("a").join(parts.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy("a._p").agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
@@ -106,7 +108,24 @@ def html_tree(rows: Iterable[tuple[list[str], str]]) -> str:
 
 
 def html_table(df: DataFrame, limit: int = 500) -> str:
-    """A digest of a small result."""
-    rows = df.limit(limit).collect()
+    """A digest of a small result; a last line tells that there are rows beyond the limit."""
+    rows = df.limit(limit + 1).collect()
+    more, rows = len(rows) > limit, rows[:limit]
     cells = lambda tag, xs: "<tr>" + "".join(f"<{tag}>{html.escape('' if x is None else str(x))}</{tag}>" for x in xs) + "</tr>"
-    return "<table>" + cells("th", df.columns) + "".join(cells("td", r) for r in rows) + "</table>"
+    return "<table>" + cells("th", df.columns) + "".join(cells("td", r) for r in rows) + "</table>" + f"<p>The first {limit} rows; there are more.</p>" * more
+
+
+def digest_subject(status: str, week: str, run: str = "release run") -> str:
+    """The subject line of a weekly digest: red for critical, green with a note for warnings, else green."""
+    if status == "critical":
+        return f"{run} is RED with a CRITICAL - {week}"
+    return f"{run} is green{' with WARNING(s)' if status == 'warning' else ''} - {week}"
+
+
+def digest_mail(subject: str, html_body: str, to: str, sender: str, text: str = "The digest is in the HTML part.") -> EmailMessage:
+    """A mail with a text and an HTML part; delivering it is the caller's."""
+    mail = EmailMessage()
+    mail["Subject"], mail["From"], mail["To"] = subject, sender, to
+    mail.set_content(text)
+    mail.add_alternative(html_body, subtype="html")
+    return mail

@@ -264,14 +264,15 @@ def test_mapping_tiers(spark):
     data = [
         (1, "VLAA", "S", 3, 6, src, "P", par, 5, 8), (2, "VLAA", "S", 3, 6, src, "P", par, None, None), (3, "V3, A6, Z", "S", None, None, src, "P", par, None, None),
         (4, "KVLAD", "S", None, None, None, "P", par, None, None), (5, "V3", "S", None, None, None, "P", par, None, None), (6, "AAA", "S", 1, 3, src, None, None, None, None),
+        (7, "V3, L4", "S", None, None, None, "P", None, 9, None), (None, "VLAA", "S", 3, 6, src, "P", par, None, None),
     ]
     got = {r.epitope_id: r for r in mapping.map_epitopes(spark.createDataFrame(data, MAPPING)).collect()}
-    assert set(got) == {1, 2, 3, 4, 5}
+    assert set(got) == {1, 2, 3, 4, 7}
     assert (got[1].tier, got[1].identity_alignment) == ("exact", 1.0)
     assert (got[2].tier, got[2].parent_start, got[2].parent_end, got[2].parent_alignment_modified, got[2].identity_alignment) == ("linear", 5, 8, "VLAd", 0.75)
     assert (got[3].tier, got[3].parent_seq, got[3].identity_alignment) == ("discontinuous", "V5, D8", pytest.approx(1 / 3))
     assert (got[4].tier, got[4].parent_start, got[4].parent_end) == ("local", 4, 8)
-    assert (got[5].parent_seq, got[5].parent_alignment) == ("M3", "M")
+    assert (got[7].tier, got[7].parent_start, got[7].parent_end) == ("exact", 9, None)
     assert mapping.map_epitopes(spark.createDataFrame([], MAPPING)).count() == 0
 
 
