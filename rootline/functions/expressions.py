@@ -17,6 +17,7 @@ class Names:
     local: str = "local-taxon:"
     protein: str = "local-protein:"
     first_local: int = 10_000_000
+    home: str = "local"  # the database of what has no public parent
 
 
 NAMES = Names()

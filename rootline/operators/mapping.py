@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rootline.functions.expressions import discontinuous, mark_mismatches, normal_residue_list
+from rootline.functions.expressions import NAMES, Names, discontinuous, mark_mismatches, normal_residue_list
 from rootline.operators.rank import mode, route
 from rootline.operators.sequences import aligned
 
@@ -113,12 +113,17 @@ def map_epitopes(rows: DataFrame) -> DataFrame:
     return out
 
 
-def source_parents(assigned: DataFrame) -> DataFrame:
-    """One parent for each source by the deterministic mode over its epitopes, with strategy: strong from 90, weak below, manual without score."""
+def source_parents(assigned: DataFrame, names: Names = NAMES) -> DataFrame:
+    """One parent for each source by the deterministic mode over its epitopes, with the strategy by its score, and the
+    parent's address and database; a source without a parent goes under its species' 'other' node."""
     best = mode(assigned.select("Source Accession", "Assigned Protein ID"), ["Source Accession"], "Assigned Protein ID")
-    score = assigned.groupBy("Source Accession").agg(F.max("Source Alignment Score").alias("score"))
-    strategy = F.when(F.col("score").isNull(), "manual").when(F.col("score") >= 90, "strong-alignment").otherwise("weak-alignment")
-    return best.join(score, "Source Accession").withColumn("strategy", F.when(F.col("Assigned Protein ID").isNotNull(), strategy)).withColumn("parent_iri", F.concat(F.lit("http://www.uniprot.org/uniprot/"), "Assigned Protein ID"))
+    own = assigned.groupBy("Source Accession").agg(F.max("Source Alignment Score").alias("score"), F.min("Species Taxon ID").alias("_species"))
+    strategy = F.when(F.col("score") >= 90, "strong-blast-match").when(F.col("score") < 90, "weak-blast-match").otherwise("manual")
+    found = F.col("Assigned Protein ID").isNotNull()
+    other = F.concat(F.lit(names.protein), F.col("_species").cast("string"), F.lit("-other"))
+    address = F.when(found, F.concat(F.lit("http://www.uniprot.org/uniprot/"), "Assigned Protein ID")).otherwise(other)
+    out = best.join(own, "Source Accession").withColumns({"strategy": strategy, "parent_iri": address, "parent_database": F.when(found, "UniProt").otherwise(names.home)})
+    return out.drop("_species")
 
 
 def parent_proteins(assigned: DataFrame) -> DataFrame:

@@ -115,6 +115,23 @@ def add_parent_by_label(s: DataFrame, start: str, parent: str) -> DataFrame:
     return add_parent_where(s, (F.col("predicate") == "rdfs:label") & F.col("object").startswith(start), parent)
 
 
+#: Names that the shipped rules of the disease tree use.
+DISEASE, IMMUNE = "obo:DOID_4", "obo:DOID_417"
+CATEGORIES = ["obo:DOID_7", "obo:DOID_150", "obo:DOID_0014667", "obo:DOID_630", "obo:DOID_225"]
+
+
+def disease_rules(s: DataFrame) -> DataFrame:
+    """All rules of the disease tree in their order: categories move, asymptomatic terms and top-level diseases get their
+    places, alternative terms become labels, and two terms are mended by hand."""
+    s = add_parent(move(s, CATEGORIES, [DISEASE], "ONTIE:0003542"), IMMUNE, DISEASE)
+    s = add_parent_by_label(s, "asymptomatic", "ONTIE:0003424")
+    s = move_all(s, ["obo:DOID_1205", IMMUNE], DISEASE)
+    s = promote_labels(s, "obo:OBI_9991118", "oio:hasExactSynonym")
+    s = add_parent(s, DISEASE, "ONTIE:0003543")
+    s = move(s, ["obo:DOID_0060039"], ["obo:DOID_0060032", "obo:DOID_1575"], IMMUNE)
+    return add_parent(s, "obo:DOID_6196", "obo:DOID_0060032")
+
+
 def promote_labels(s: DataFrame, alternative: str, synonym: str) -> DataFrame:
     """The value of an alternative-term predicate becomes the label; the old label becomes a synonym."""
     alt = s.where(F.col("predicate") == alternative).select("subject", F.col("object").alias("_alt"))

@@ -91,10 +91,12 @@ def renumber(statements: DataFrame, prefixes: list[str], to: str) -> DataFrame:
 
 
 def names_as_synonyms(taxonomy: DataFrame, tree: DataFrame) -> DataFrame:
-    """(subject, object): scientific names of the taxonomy that differ from the tree's label, not only in case."""
+    """Exact synonyms for the tree: scientific names of the taxonomy that differ from the tree's label, not only in case."""
     a = taxonomy.where("predicate = 'rdfs:label'").select("subject", F.col("object").alias("name"))
     b = tree.where("predicate = 'rdfs:label'").select("subject", F.col("object").alias("label"))
-    return a.join(b, "subject").where("name <> label and lower(name) <> lower(label)").select("subject", F.col("name").alias("object"))
+    return a.join(b, "subject").where("name <> label and lower(name) <> lower(label)").transform(
+        lambda x: emit(x, [triple(F.col("subject"), "oio:hasExactSynonym", F.col("name"), STRING, '{"oio:hasSynonymType":[{"datatype":"xsd:string","meta":"owl:Axiom","object":"NCBI Taxonomy scientific name"}]}')])
+    )
 
 
 def compare(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -156,13 +156,21 @@ def groups(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return flags.select("node", group.alias("group"))
 
 
+#: Taxa that count as active in a species that isn't above them.
+ALSO_ACTIVE = {10002316: 694009}
+
+
 def active_species(edges: DataFrame, species: DataFrame, counts: DataFrame, names: Names = NAMES) -> DataFrame:
     """Species with epitopes: id, key, label, active taxa ('1, 2' in numeric order), group and the sum over the active taxa.
 
     species (node, label); counts (curie, epitope_count). Ids that aren't numbers (like '...-other') stay out of the ids.
     """
     pairs = graph.closure(edges, seeds=species.select("node"))
-    active = pairs.join(counts.withColumnRenamed("curie", "node"), "node").withColumn("id", taxon_id(F.col("node"), names).try_cast("long")).where("id is not null")
+    number = lambda c: F.regexp_replace(c, f"^(?:{names.public}|{names.local})", "").try_cast("long")
+    active = pairs.join(counts.withColumnRenamed("curie", "node"), "node").select("ancestor", number(F.col("node")).alias("id"), "epitope_count").where("id is not null")
+    more = species.select(F.col("node").alias("ancestor"), lookup(number(F.col("node")), ALSO_ACTIVE).cast("long").alias("id")).where("id is not null")
+    more = more.join(counts.select(number(F.col("curie")).alias("id"), "epitope_count"), "id", "left").select("ancestor", "id", F.coalesce("epitope_count", F.lit(0)).alias("epitope_count"))
+    active = active.unionByName(more)
     summed = active.groupBy("ancestor").agg(F.array_join(F.transform(F.array_sort(F.collect_set("id")), lambda x: x.cast("string")), ", ").alias("Active Taxa"), F.sum("epitope_count").alias("Epitope Count"))
     out = summed.withColumnRenamed("ancestor", "node").join(species, "node").join(groups(edges, species.select("node")), "node", "left")
     number = taxon_id(F.col("node"), names).try_cast("long")

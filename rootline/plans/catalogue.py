@@ -137,11 +137,10 @@ def except_ids(t):
 
 
 @query("""
-WITH l AS (SELECT DISTINCT p_type FROM part), k AS (SELECT n_nationkey, n_name FROM nation),
-w AS (SELECT r_regionkey AS id, lower(split_part(r_name, ' ', 1)) AS word FROM region UNION ALL SELECT 100 + s_suppkey, lower(split_part(p_type, ' ', 2)) FROM supplier JOIN part ON p_partkey = s_suppkey)
-SELECT l.p_type, max_by(w.id, w.id) AS id FROM l LEFT JOIN w ON contains(' ' || lower(l.p_type) || ' ', ' ' || w.word || ' ') OR contains(' ' || w.word || ' ', ' ' || lower(l.p_type) || ' ') GROUP BY l.p_type""")
+WITH l AS (SELECT DISTINCT p_type FROM part), w AS (SELECT r_regionkey AS id, lower(r_name) AS word FROM region UNION ALL SELECT 100 + s_suppkey, lower(split_part(p_type, ' ', 2)) FROM supplier JOIN part ON p_partkey = s_suppkey)
+SELECT p_type, max(id) AS id FROM l JOIN w ON contains(word, lower(p_type)) OR contains(lower(p_type), word) GROUP BY p_type""")
 def theta_contains_lastwins(t):
-    words = t("region").select(F.col("r_regionkey").cast("long").alias("id"), F.lower(F.split_part("r_name", F.lit(" "), F.lit(1))).alias("word"))
+    words = t("region").select(F.col("r_regionkey").cast("long").alias("id"), F.lower("r_name").alias("word"))
     more = t("supplier").join(t("part"), F.col("p_partkey") == F.col("s_suppkey")).select((F.col("s_suppkey") + 100).alias("id"), F.lower(F.split_part("p_type", F.lit(" "), F.lit(2))).alias("word"))
     both = words.union(more)
     return joins.contains_last_wins(t("part").select("p_type").distinct(), "p_type", both.withColumn("ord", F.col("id")), "word", "id", "ord")

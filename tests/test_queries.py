@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from rootline.plans import catalogue
+from rootline.plans import catalogue, domain
 from tests.conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -13,18 +13,21 @@ def plain(v):
     return f"{v:.9g}" if isinstance(v, float) else repr(v)
 
 
-@pytest.mark.parametrize("name", catalogue.QUERIES)
+QUERIES, ORACLES = catalogue.QUERIES | domain.QUERIES, catalogue.ORACLES | domain.ORACLES
+
+
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, name):
-    df = catalogue.QUERIES[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     rows = sorted(tuple(plain(r[c]) for c in cols) for r in df.collect())
-    if name not in catalogue.ORACLES:
+    if name not in ORACLES:
         assert rows
         return
     db = duckdb.connect()
     for t in TABLES:
         db.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    got = db.sql(catalogue.ORACLES[name])
+    got = db.sql(ORACLES[name])
     at = [got.columns.index(c) for c in cols]
     assert sorted(got.columns) == cols
     assert rows == sorted(tuple(plain(r[i]) for i in at) for r in got.fetchall())
@@ -33,4 +36,4 @@ def test_query(spark, name):
 def test_entry_names_are_the_same_without_the_optional_part():
     import __spark_entry__ as e
 
-    assert set(catalogue.QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+    assert set(QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
