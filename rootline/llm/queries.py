@@ -69,6 +69,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _TEMPLATES = ", ".join(f"('{n}', '{t}')" for n, t in licenses.TEMPLATES.items())
+_MUST = ", ".join(f"('{n}', '{t}', {len(own)})" for n, own in licenses.MUST.items() for t in own)
+_SHORT, _LONG = licenses.RUNS
 _WORDS = "regexp_extract_all(lower({}), '[a-z0-9][a-z0-9+-]*(?:\\.[0-9]+)?')"
 
 ORACLES: dict[str, str] = {
@@ -81,10 +83,16 @@ tt AS (SELECT template, term, count(*) AS tf FROM (SELECT template, unnest({_WOR
 d AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_WORDS.format("text")}) AS term FROM f) WHERE term IN (SELECT term FROM tt) GROUP BY 1),
 idf AS (SELECT term, ln((1 + (SELECT count(*) FROM f)) / CAST(1 + coalesce(df, 0) AS DOUBLE)) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN d USING (term)),
 tw AS (SELECT template, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS w FROM tt JOIN idf USING (term)),
-u AS (SELECT doc_id, unnest(range(len(ls))) AS unit, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM f) UNION ALL SELECT doc_id, -1, text FROM f WHERE path LIKE '%/LICENSE'),
-ut AS (SELECT doc_id, unit, term, count(*) AS tf FROM (SELECT doc_id, unit, unnest({_WORDS.format("line")}) AS term FROM u) WHERE term IN (SELECT term FROM tt) GROUP BY 1, 2, 3),
-uw AS (SELECT doc_id, unit, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id, unit)) AS w FROM ut JOIN idf USING (term)),
-s AS (SELECT doc_id, template, round(sum(uw.w * tw.w), 6) AS score FROM uw JOIN tw USING (term) GROUP BY doc_id, unit, template),
+m AS (SELECT * FROM (VALUES {_MUST}) v(template, term, needed)),
+p AS (SELECT doc_id, unnest(range(len(ls))) AS piece, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM f) UNION ALL SELECT doc_id, -1, text FROM f WHERE contains(text, chr(10))),
+pw AS (SELECT doc_id, piece, {_WORDS.format("line")} AS words FROM p),
+u AS (SELECT doc_id, piece, {_LONG}00 + s AS start, words[s + 1 : s + {_LONG}] AS words FROM (SELECT *, unnest(range(0, greatest(len(words) - {_LONG // 2}, 1), {_LONG // 2})) AS s FROM pw WHERE len(words) > {_SHORT})
+  UNION ALL SELECT doc_id, piece, -s, words[s + 1 : s + {_SHORT}] FROM (SELECT *, unnest(range(0, greatest(len(words) - {_SHORT // 2}, 1), {_SHORT // 2})) AS s FROM pw)
+  UNION ALL SELECT f.doc_id, -2, 0, {_WORDS.format("text")} FROM f WHERE path LIKE '%/LICENSE'),
+ut AS (SELECT doc_id, piece, start, term, count(*) AS tf FROM (SELECT doc_id, piece, start, unnest(words) AS term FROM u) WHERE term IN (SELECT term FROM tt) GROUP BY 1, 2, 3, 4),
+uw AS (SELECT doc_id, piece, start, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id, piece, start)) AS w FROM ut JOIN idf USING (term)),
+s AS (SELECT doc_id, uw.piece, uw.start, tw.template, round(sum(uw.w * tw.w), 6) AS score, count(m.term) AS own, max(m.needed) AS needed FROM uw JOIN tw USING (term) LEFT JOIN m ON m.template = tw.template AND m.term = uw.term
+  GROUP BY doc_id, uw.piece, uw.start, tw.template HAVING count(m.term) = (SELECT max(needed) FROM m x WHERE x.template = tw.template)),
 own AS (SELECT doc_id, split_part(template, '/', 1) AS own_license, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, template) AS rn FROM s WHERE score >= 0.6) WHERE rn = 1),
 r AS (SELECT f.doc_id, path, own_license, score, regexp_replace(path, '/?[^/]*$', '') AS folder FROM f LEFT JOIN own USING (doc_id)),
 g AS (SELECT folder, own_license FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY score DESC, own_license, path) AS rn FROM r WHERE own_license IS NOT NULL AND path LIKE '%/LICENSE') WHERE rn = 1),

@@ -20,12 +20,16 @@ def brute(rows, threshold=0.6):
     marks = {n: vec(t) for n, t in L.TEMPLATES.items()}
     own = []
     for _, path, text in rows:
-        units = (text or "").split("\n") + ([text or ""] if path and re.search(L.LICENSE_FILE, path) else [])
+        whole = words(text or "")
+        cut = lambda w: [w[a : a + n] for n in L.RUNS for a in range(0, max(1, len(w) - n // 2), n // 2)]
+        units = cut(whole) + ([whole] if path and re.search(L.LICENSE_FILE, path) else [])
+        for line in map(words, (text or "").split("\n")):
+            units += cut(line)
         best = (0.0, None)
         for u in units:
-            v = vec(u)
+            v = vec(" ".join(u))
             for n, m in sorted(marks.items()):
-                s = round(sum(x * m.get(w, 0) for w, x in v.items()) / size(v) / size(m), 6) if v else 0
+                s = round(sum(x * m.get(w, 0) for w, x in v.items()) / size(v) / size(m), 6) if v and set(L.MUST[n]) <= set(u) else 0
                 if s >= threshold and (s > best[0] or s == best[0] and n < best[1]):
                     best = (s, n)
         own.append((best[0], best[1] and best[1].split('/')[0]))
@@ -78,3 +82,27 @@ def test_real_notices_find_their_template(spark):
     rows = [(i, f"a/{n}.txt", "start\n" + t, None, None, None, None) for i, (n, t) in enumerate(texts.items())] + [(100 + i, f"b/{i}", "the plain text of this and that", None, None, None, None) for i in range(200)]
     got = {r.path: r.own_license for r in L.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert all(got[f"a/{n}.txt"] == n for n in texts) and not any(got[f"b/{i}"] for i in range(200))
+
+
+def licences_of(spark, texts):
+    rows = [(i, f"a/{i}.txt", t, None, None, None, None) for i, t in enumerate(texts)] + [(1000 + i, f"b/{i}", "the plain text of this and that for any use", None, None, None, None) for i in range(200)]
+    got = {r.doc_id: r.own_license for r in L.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(got[1000 + i] for i in range(200))
+    return [got[i] for i in range(len(texts))]
+
+
+def test_notices_in_long_lines_and_over_line_breaks(spark):
+    r = random.Random(5)
+    words = lambda n: " ".join(r.choice(["word", "the", "of", "this", "stone", "a", "river", "to", "by", "it"]) for _ in range(n))
+    notices = {n: L.TEMPLATES[n] for n in L.TEMPLATES if n.endswith("/notice")}
+    texts = [f"{words(r.randrange(300, 700))} {t} {words(r.randrange(300, 700))}" for t in notices.values()]
+    texts += [f"{words(20)}\n{' '.join(t.split()[:3])}\n{' '.join(t.split()[3:])}\n{words(20)}" for t in notices.values()]
+    tags = [n for n in L.TEMPLATES if n.endswith("/tag")]
+    texts += [f"{words(50)}\n# SPDX-License-Identifier: {n.split('/')[0]}\n{words(50)}" for n in tags]
+    want = [n.split("/")[0] for n in [*notices, *notices, *tags]]
+    assert licences_of(spark, texts) == want
+
+
+def test_licences_without_a_template_have_no_name(spark):
+    assert licences_of(spark, ["Licensed under the Foo license.", "Licensed under the Zope Public License 2.1", "Permission is granted to anyone to use this software", "CeCILL-B license version 1", "the license of this work is public and free, version 3 of the general plan"]) == [None] * 5
+    assert licences_of(spark, ["BSD 3-Clause License", "SPDX-License-Identifier: MIT", "GNU Lesser General Public License version 2.1", "Eclipse Public License, Version 2.0", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"]) == ["BSD-3-Clause", "MIT", "LGPL-2.1", "EPL-2.0", "ISC"]
