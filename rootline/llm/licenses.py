@@ -79,6 +79,10 @@ def _tokens(text: str) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def _run(at: Column, run: int) -> Column:
+    return F.struct(at.alias("at"), F.lit(run).alias("run"), F.slice("words", at + 1, F.lit(run)).alias("words"))
+
+
 def units(texts: DataFrame, keys: list[str], anchors: Column) -> DataFrame:
     """(keys, text, whole: a licence file) -> (keys, piece, at, run, words): the runs of each line and of the whole text that may match."""
     lines = F.split("text", "\n", -1)
@@ -88,13 +92,13 @@ def units(texts: DataFrame, keys: list[str], anchors: Column) -> DataFrame:
 
     def starts(run: int) -> Column:
         last = F.greatest(F.ceil((F.size("words") - run) / (run // 2)), F.lit(0)).cast("int")
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.struct((i * (run // 2)).alias("at"), F.lit(run).alias("run")))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: _run(i * (run // 2), run))
 
     short, long = RUNS
     own = F.when(F.size("words") > short, F.concat(starts(short), starts(long))).otherwise(starts(short))
-    own = F.when(F.col("whole"), F.concat(own, F.array(F.struct(F.lit(0).alias("at"), F.lit(2**31 - 1).alias("run"))))).otherwise(own)
-    runs = rows.select(*keys, "piece", "words", F.explode(own).alias("r")).select(*keys, "piece", "r.at", "r.run", F.slice("words", F.col("r.at") + 1, F.col("r.run")).alias("words"))
-    return runs.where(F.arrays_overlap("words", anchors))
+    own = F.when(F.col("whole"), F.concat(own, F.array(_run(F.lit(0), 2**31 - 1)))).otherwise(own)
+    # cut inside the row, so that no copy of a long text goes with each of its runs
+    return rows.select(*keys, "piece", F.explode(F.filter(own, lambda r: F.arrays_overlap(r["words"], anchors))).alias("r")).select(*keys, "piece", "r.*")
 
 
 def scores(runs: DataFrame, keys: list[str], idf: dict[str, float], vectors: dict[str, dict[str, float]], must: dict[str, list[str]] = MUST) -> DataFrame:
