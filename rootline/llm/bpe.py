@@ -45,11 +45,11 @@ def _unpack(blob: bytes) -> list[bytes]:
     return [raw[at + a : at + b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if n else []
 
 
-def _by_shard(words: set[str], shards: int) -> dict[int, list[bytes]]:
-    """Words as bytes by shard, sorted."""
-    out: dict[int, list[bytes]] = {}
-    for x in sorted(w.encode() for w in words):
-        out.setdefault(zlib.crc32(x) % shards, []).append(x)
+def _by_shard(words: set[str], shards: int) -> dict[int, list[str]]:
+    """Words by shard, sorted."""
+    out: dict[int, list[str]] = {}
+    for w in sorted(words):
+        out.setdefault(zlib.crc32(w.encode()) % shards, []).append(w)
     return out
 
 
@@ -103,7 +103,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
                 for t in _docs(blob)[1]:
                     own.update(split(t))
                 by = _by_shard(own, shards)
-                yield pa.RecordBatch.from_arrays([pa.array([b] * len(by), pa.int64()), pa.array(list(by), pa.int32()), pa.array([_pack(p) for p in by.values()], pa.binary())], ["block", "shard", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array([b] * len(by), pa.int64()), pa.array(list(by), pa.int32()), pa.array([_pack([w.encode() for w in p]) for p in by.values()], pa.binary())], ["block", "shard", "words"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Reads the shards one after the other."""
@@ -124,17 +124,14 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
     def join(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         split, bytes_at = vocab.pieces_of(pattern).findall, vocab.token_bytes(path)
         doc_ids, texts = _docs(left["docs"][0].as_py())
+        back = dict(zip(right["shard"].to_pylist(), right["ids"].to_pylist(), strict=True))
+        pieces = [split(t) for t in texts]
         ids_of: dict[str, bytes] = {}
-        if right.num_rows:
-            back = dict(zip(right["shard"].to_pylist(), right["ids"].to_pylist(), strict=True))
-            own: set[str] = set()
-            for t in texts:
-                own.update(split(t))
-            for s, words in _by_shard(own, shards).items():
-                ids_of.update(zip((w.decode() for w in words), _unpack(back[s]), strict=True))
+        for s, words in _by_shard(set().union(*pieces), shards).items():
+            ids_of.update(zip(words, _unpack(back[s]), strict=True))
         cols: list[list] = [[], [], [], [], []]
-        for t in texts:
-            raw = b"".join(map(ids_of.__getitem__, split(t)))
+        for own in pieces:
+            raw = b"".join(map(ids_of.__getitem__, own))
             ids = np.frombuffer(raw, "<u4")
             text = b"".join(map(bytes_at.__getitem__, ids.tolist()))
             row = (ids.size, hashlib.sha256(raw).hexdigest(), hashlib.sha256(text).hexdigest())
