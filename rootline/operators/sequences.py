@@ -7,6 +7,7 @@ distinct pair in Arrow batches.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -56,9 +57,20 @@ def kmers(seq: Column, k: int) -> Column:
     return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))
 
 
-def peptide_join(queries: DataFrame, query: str, proteins: DataFrame, protein: str, seq: str, k: int = 5, most_broadcast: int = 200_000) -> DataFrame:
-    """(query, protein, start, end) for every occurrence, overlapping ones too; positions from 1, inclusive."""
-    index = proteins.select(F.col(protein).alias("protein"), F.posexplode(kmers(F.col(seq), k)).alias("at", "kmer")).select("protein", (F.col("at") + 1).alias("pos"), "kmer")
+def kmer_index(proteins: DataFrame, protein: str, seq: str, k: int) -> DataFrame:
+    """(protein, pos, kmer) for every position; to be written once and given to several searches."""
+    return proteins.select(F.col(protein).alias("protein"), F.posexplode(kmers(F.col(seq), k)).alias("at", "kmer")).select("protein", (F.col("at") + 1).alias("pos"), "kmer")
+
+
+def write_kmer_index(index: DataFrame, path: str, parts: int = 64) -> None:
+    """Stores an index sorted by k-mer within hash parts, so that a search for few k-mers skips most row groups."""
+    index.repartition(parts, "kmer").sortWithinPartitions("kmer").write.mode("overwrite").parquet(path)
+
+
+def peptide_join(queries: DataFrame, query: str, proteins: DataFrame, protein: str, seq: str, k: int = 5, most_broadcast: int = 200_000, index: DataFrame | None = None) -> DataFrame:
+    """(query, protein, start, end) for every occurrence, overlapping ones too; positions from 1, inclusive. A stored
+    ``index`` of the same k spares reading the sequences' k-mers again."""
+    index = kmer_index(proteins, protein, seq, k) if index is None else index
     own = queries.select(F.col(query).alias("query")).where(F.length(query) >= k).distinct()
     parts = own.select("query", F.posexplode(kmers(F.col("query"), k)).alias("at", "kmer")).select("query", (F.col("at") + 1).alias("offset"), "kmer")
     asked = parts.select("kmer").distinct()
@@ -72,15 +84,23 @@ def peptide_join(queries: DataFrame, query: str, proteins: DataFrame, protein: s
     return checked.where(F.expr("substring(_s, start, length(query))") == F.col("query")).select("query", "protein", "start", (F.col("start") + F.length("query") - 1).alias("end"))
 
 
-def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: DataFrame, protein: str, seq: str) -> DataFrame:
+def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: DataFrame, protein: str, seq: str, most_sets: int = 100_000) -> DataFrame:
     """(epitope, protein) pairs where every residue of the epitope (array of (aa, pos)) stands at its position.
 
-    The join is by the epitope's first residue and position; only positions that some epitope asks for are looked at.
+    The join is by the positions and letters of up to three of the epitope's residues together. Epitopes ask for few
+    different sets of three positions; each is one row of the table of what is looked up in the proteins, which is
+    broadcast only up to ``most_sets`` rows (a shape beyond that asks by the first residue alone).
     """
-    asked = epitopes.where(F.size(tokens) > 0).select(F.col(epitope).alias("epitope"), F.col(tokens).alias("tokens"), F.get(tokens, F.lit(0))["pos"].alias("pos"), F.upper(F.get(tokens, F.lit(0))["aa"]).alias("aa"))
-    positions = asked.select("pos").distinct()
-    have = proteins.select(F.col(protein).alias("protein"), F.col(seq).alias("_s")).join(F.broadcast(positions), F.length("_s") >= F.col("pos")).withColumn("aa", F.expr("substring(_s, pos, 1)"))
-    return asked.join(have, ["pos", "aa"]).where(F.forall("tokens", lambda t: (t["pos"] >= 1) & (F.substring(F.col("_s"), t["pos"], F.lit(1)) == F.upper(t["aa"])))).select("epitope", "protein")
+    listed = epitopes.where(F.size(tokens) > 0).select(F.col(epitope).alias("epitope"), F.col(tokens).alias("tokens"))
+    listed = listed.withColumn("at", F.transform(F.slice("tokens", 1, 3), lambda t: t["pos"])).withColumn("aa", F.array_join(F.transform(F.slice("tokens", 1, 3), lambda t: F.upper(t["aa"])), ""))
+    listed = shared_table(listed.where(F.array_min("at") >= 1), "residues")
+    if listed.select("at").distinct().count() > most_sets:
+        listed = listed.withColumns({"at": F.slice("at", 1, 1), "aa": F.substring("aa", 1, 1)})
+    sets = listed.select("at").distinct()
+    sets = F.broadcast(sets) if sets.count() <= most_sets else sets
+    have = proteins.select(F.col(protein).alias("protein"), F.col(seq).alias("_s")).join(sets, F.length("_s") >= F.array_max("at"))
+    have = have.withColumn("aa", F.array_join(F.transform("at", lambda p: F.substring(F.col("_s"), p, F.lit(1))), ""))
+    return listed.join(have, ["at", "aa"]).where(F.forall("tokens", lambda t: (t["pos"] >= 1) & (F.substring(F.col("_s"), t["pos"], F.lit(1)) == F.upper(t["aa"])))).select("epitope", "protein")
 
 
 @lru_cache(1)
@@ -163,8 +183,13 @@ def aligned(pairs: DataFrame, a: str, b: str, local: bool = False) -> DataFrame:
     return pairs.join(done, [a, b], "left")
 
 
-def similarity_join(queries: DataFrame, query: str, qseq: str, subjects: DataFrame, subject: str, sseq: str, k: int = 3, least_shared: int = 2, top: int = 50) -> DataFrame:
-    """The 12 alignment columns for the best subjects of each query (without E-values: they need a search space's statistics).
+#: Karlin and Altschul's statistics of BLOSUM62 with gaps of 11 and 1.
+LAMBDA, KAPPA = 0.267, 0.041
+
+
+def similarity_join(queries: DataFrame, query: str, qseq: str, subjects: DataFrame, subject: str, sseq: str, k: int = 3, least_shared: int = 2, top: int = 50, evalue: float | None = None) -> DataFrame:
+    """The 12 alignment columns for the best subjects of each query. Bit scores and E-values follow from the raw score, the
+    query's length and all letters of the subjects (without corrections for the ends); ``evalue`` keeps those up to it.
 
     Every distinct subject sequence that shares ``least_shared`` distinct k-mers with the query's is aligned locally, however
     common the k-mers are. Of the alignments the ``top`` best of each query stay: by score, then shared k-mers, then subject.
@@ -179,6 +204,10 @@ def similarity_join(queries: DataFrame, query: str, qseq: str, subjects: DataFra
     best = first(pairs, "_a", F.col("score").desc(), F.col("shared").desc(), "_least")
     named = first(subjects.select(subject, F.col(sseq).alias("_s")).distinct(), "_s", subject)
     found = best.join(queries.select(query, F.col(qseq).alias("_q")).distinct(), "_q").join(named, "_s")
+    letters = subjects.agg(F.sum(F.length(sseq))).first()[0] or 0
+    bits = (LAMBDA * F.col("score") - math.log(KAPPA)) / math.log(2)
+    found = found.withColumn("_bits", bits).withColumn("_e", F.length("_q") * F.lit(letters) * F.pow(F.lit(2.0), -F.col("_bits")))
+    found = found if evalue is None else found.where(F.col("_e") <= evalue)
     done = first(found, query, F.col("score").desc(), F.col("shared").desc(), subject)
     cols = F.arrays_zip(F.split("aligned_a", "").alias("x"), F.split("aligned_b", "").alias("y"))
     same = F.size(F.filter(cols, lambda c: c["x"] == c["y"]))
@@ -189,5 +218,5 @@ def similarity_join(queries: DataFrame, query: str, qseq: str, subjects: DataFra
         F.col(query).alias("Query"), F.col(subject).alias("Subject"), F.round(100 * same / length, 3).alias("% Identity"), length.cast("long").alias("Alignment Length"),
         (length - same - gaps).cast("long").alias("Mismatches"), opened.cast("long").alias("Gap Openings"), F.col("start_a").cast("long").alias("Query Start"),
         (F.col("start_a") + F.length(F.replace("aligned_a", F.lit("-"), F.lit(""))) - 1).cast("long").alias("Query End"), F.col("start_b").cast("long").alias("Subject Start"),
-        (F.col("start_b") + F.length(F.replace("aligned_b", F.lit("-"), F.lit(""))) - 1).cast("long").alias("Subject End"), F.lit(None).cast("double").alias("E-value"), F.col("score").cast("double").alias("Bit Score"),
+        (F.col("start_b") + F.length(F.replace("aligned_b", F.lit("-"), F.lit(""))) - 1).cast("long").alias("Subject End"), F.col("_e").alias("E-value"), F.col("_bits").alias("Bit Score"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rootline.functions import expressions as X
 from rootline.operators import graph, joins, metrics, ontology, rank, sequences, statements, validate
+from rootline.operators.shared import shared_folder
 from rootline.sources.readers import fasta_header
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -441,6 +443,18 @@ def kmer_exact_join(t):
     return _hits(t).withColumns({"start": F.col("start").cast("long"), "end": F.col("end").cast("long")})
 
 
+@query(_HITS + ' SELECT query, protein, start, start + length(query) - 1 AS "end" FROM h')
+def stored_index_join(t):
+    """The same search twice over an index that is written once."""
+    d = t("documents")
+    at = f"{shared_folder(d.sparkSession)}/kmer-index-{uuid.uuid4().hex}"
+    sequences.write_kmer_index(sequences.kmer_index(d, "doc_id", "text", 12), at)
+    index = d.sparkSession.read.parquet(at)
+    q = t("benchmark").select(F.col("text").alias("query")).distinct()
+    parts = [sequences.peptide_join(q.where(F.pmod(F.crc32("query"), F.lit(2)) == i), "query", d, "doc_id", "text", 12, index=index) for i in (0, 1)]
+    return parts[0].union(parts[1]).withColumns({"start": F.col("start").cast("long"), "end": F.col("end").cast("long")})
+
+
 @query(_HITS + """
 , b AS (SELECT h.*, d.n_chars, d.lang FROM h JOIN documents d ON d.doc_id = h.protein)
 SELECT item_id, protein AS doc_id, start, start + length(query) - 1 AS "end" FROM benchmark JOIN (SELECT *, row_number() OVER (PARTITION BY query

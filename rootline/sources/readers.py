@@ -101,10 +101,17 @@ def next_link(header: str | None) -> str | None:
     return found[1] if found else None
 
 
-def land_pages(fetch, url: str, most: int = 100_000):
-    """The bodies of a paged REST answer, to be landed as files; fetch(url) -> (body, headers). Bounded, without recursion."""
+def land_pages(fetch, url: str, most: int = 100_000, tries: int = 5, retry_on: tuple[type[BaseException], ...] = (ConnectionError, TimeoutError)):
+    """The bodies of a paged REST answer, to be landed as files; fetch(url) -> (body, headers). A page that fails with one of
+    ``retry_on`` is asked for again, ``tries`` times in all. Bounded, without recursion."""
     for _ in range(most):
-        body, headers = fetch(url)
+        for left in range(tries - 1, -1, -1):
+            try:
+                body, headers = fetch(url)
+                break
+            except retry_on:
+                if not left:
+                    raise
         yield body
         url = next_link(headers.get("Link"))
         if not url:
@@ -176,6 +183,20 @@ def structure_ids(raw: DataFrame) -> DataFrame:
     return ids.select("sequence", F.nullif("accession", F.lit("")).alias("accession"), float_text_to_long(F.col("id")).alias("id"))
 
 
+def land(spark: SparkSession, bodies, path: str) -> int:
+    """Writes pages as text files, one a page, to a folder that the executors read; gives their number."""
+    n = 0
+    for n, body in enumerate(bodies, 1):
+        spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/page={n:06d}")
+    return n
+
+
+def agreed_release(signals: list[str | None], least: int = 2) -> str | None:
+    """The release that all signals name, if at least so many name one; None where they differ."""
+    named = [s for s in signals if s]
+    return named[0] if len(named) >= least and len(set(named)) == 1 else None
+
+
 def release_signal(headers: dict[str, str] | None = None, body: str = "", pattern: str | None = None) -> tuple[str | None, datetime | None]:
     """(release, modified) from an answer's headers or from a pattern in its body; the fetching is the caller's."""
     headers = headers or {}

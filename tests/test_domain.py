@@ -1,5 +1,6 @@
 """Domain operators on hand-written fixtures in the shapes of FIXTURES.md."""
 
+import math
 import random
 from datetime import UTC, datetime, timedelta
 
@@ -71,6 +72,18 @@ def test_allergen_fragments_pages_and_signals(spark):
     assert rows(writers.allergen_records(df)) == [("A_frag_1", "MKVLAA"), ("A_frag_3", "ACDEFG"), ("B", "MKVLAA")]
     pages = {"u1": ("a", {"Link": '<u2>; rel="next"'}), "u2": ("b", {})}
     assert list(readers.land_pages(pages.get, "u1")) == ["a", "b"]
+    failing = iter([ConnectionError(), TimeoutError(), None, None])
+
+    def fetch(url):
+        e = next(failing)
+        if e:
+            raise e
+        return pages[url]
+
+    assert list(readers.land_pages(fetch, "u1")) == ["a", "b"]
+    with pytest.raises(KeyError):
+        list(readers.land_pages(lambda u: pages["none"], "u1"))
+    assert [readers.agreed_release(x) for x in (["a", "a", None], ["a", "b", "a"], ["a", None, None], [])] == ["a", None, None, None]
     assert readers.release_signal({}, "<version>2026_03</version>", "<version>(.*?)<")[0] == "2026_03"
     assert writers.html_tree([(["r"], "r & x"), (["r", "a"], "a")]) == "<ul><li>r &amp; x</li><ul><li>a</li></ul></ul>"
 
@@ -206,7 +219,7 @@ def test_similarity_search_finds_members_of_a_large_family(spark):
     s = [(f"f{i:02}", family[:i] + "W" + family[i + 1 :]) for i in range(10)] + [(f"x{i:02}", seq(40)) for i in range(20)]
     df = spark.createDataFrame(s, "sid string, ss string")
     q = spark.createDataFrame([s[3]], "qid string, qs string")
-    got = {x.Subject: x["Bit Score"] for x in sequences.similarity_join(q, "qid", "qs", df, "sid", "ss").collect()}
+    got = {x.Subject: round((x["Bit Score"] * math.log(2) + math.log(0.041)) / 0.267) for x in sequences.similarity_join(q, "qid", "qs", df, "sid", "ss").collect()}
     assert {i for i, _ in s[:10]} <= set(got) and got["f03"] == max(got.values())
 
 
@@ -397,3 +410,65 @@ def test_streams(spark, tmp_path):
     events.write.mode("append").parquet(f"{tmp_path}/in")
     incremental.classify_new(stream, "k", lambda df: df.select("k", F.lit("c").alias("class")), f"{tmp_path}/known", f"{tmp_path}/c2").awaitTermination()
     assert rows(spark.read.parquet(f"{tmp_path}/known"), "k") == [("a",), ("b",)]
+
+
+def test_pages_are_landed_and_read(spark, tmp_path):
+    bodies = ['{"results": [{"id": "UP1", "proteinCount": 5}]}', '{"results": [{"id": "UP2"}, {"id": "UP3", "proteomeType": "Excluded"}]}']
+    assert readers.land(spark, bodies, f"{tmp_path}/pages") == 2
+    assert rows(readers.read_proteome_candidates(spark, f"{tmp_path}/pages/*"), "Proteome ID") == [("UP1",), ("UP2",)]
+
+
+def test_tables_are_replaced_and_read_by_jdbc(spark, tmp_path):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k long, v string")
+    writers.replace_table(a, "own_table")
+    writers.replace_table(a.where("k = 2"), "own_table")
+    assert rows(spark.table("own_table")) == [(2, "y")]
+    spark.sql("drop table own_table")
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    rows_ = spark.createDataFrame([(i, f"a\r{i}") for i in range(20)], "k long, v string")
+    rows_.write.jdbc(url, "t")
+    got = readers.read_jdbc(spark, url, "SELECT * FROM t", ("k", 0, 20, 3))
+    assert got.rdd.getNumPartitions() == 3 and sorted((r[0], r[1]) for r in got.collect()) == [(i, f"a{i}") for i in range(20)]
+
+
+def test_sizes_of_files_come_from_the_listing(spark, tmp_path):
+    (tmp_path / "9").mkdir()
+    (tmp_path / "9" / "proteome.fasta").write_text("abc")
+    assert [(r.path.rsplit("/", 2)[1:], r.bytes) for r in readers.file_sizes(spark, f"{tmp_path}/*/proteome.fasta").collect()] == [(["9", "proteome.fasta"], 3)]
+
+
+def test_bit_scores_and_expectations(spark):
+    s = "MKVLAAGIVGWWCHHPQ"
+    df = spark.createDataFrame([("a", s), ("b", "GGGGGGGGG"), ("c", s[:9])], "id string, seq string")
+    q = df.where("id = 'a'").select(F.col("id").alias("qid"), F.col("seq").alias("qseq"))
+    got = {r.Subject: r for r in sequences.similarity_join(q, "qid", "qseq", df, "id", "seq").collect()}
+    raw = sequences.align(s, s, True)[4]
+    bits = (0.267 * raw - math.log(0.041)) / math.log(2)
+    assert got["a"]["Bit Score"] == pytest.approx(bits) and got["a"]["E-value"] == pytest.approx(17 * 35 * 2**-bits)
+    least = got["c"]["E-value"]
+    assert {r.Subject for r in sequences.similarity_join(q, "qid", "qseq", df, "id", "seq", evalue=least / 2).collect()} == {"a"}
+
+
+def test_core_stages_run_in_order_and_resume(spark, tmp_path, capsys):
+    from rootline import __main__ as cli
+    from rootline.plans import domain, stages
+
+    t = domain.Tables(spark, "")
+    tables = {n: t(n) for n in ("sources", "alignments", "proteome", "classified", "manual_synonyms")}
+    tables["manual_parents"] = t("manual")
+    tables["peptides"] = t("peptides").withColumns({"Species Taxon ID": F.lit(9).cast("long"), "Species Name": F.lit("Sp"), "Database": F.lit("UniProt"), "Name": F.lit("n")})
+    tables["fragments"] = spark.createDataFrame([], "protein_id string, value array<struct<type:string,start:int,end:int,description:string,feature_id:string>>")
+    tables["synonyms"] = spark.createDataFrame([("P0001", ["alpha"])], "protein_id string, value array<string>")
+    tables["organism_tree"] = spo(spark, [("NCBITaxon:9", "rdf:type", "owl:Class"), ("NCBITaxon:9", "rdfs:label", "Sp")])
+    for n, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{n}")
+    names = [s.name for s in stages.STAGES]
+    assert stages.run(spark, str(tmp_path)) == names
+    assert stages.run(spark, str(tmp_path)) == []
+    assert stages.run(spark, str(tmp_path), ["assignments", "release_counts"], again=True) == ["assignments", "release_counts"]
+    # one row for each (sequence, source): peptide 7 repeats 1
+    assert ("9", "epitopes", 7) in rows(spark.read.parquet(f"{tmp_path}/release_counts"), "Species Taxon ID", "metric", "value")
+    assert spark.read.parquet(f"{tmp_path}/labels").count() > 3
+    assert cli.main(["list"]) == 0 and "stage protein_tree" in capsys.readouterr().out
+    assert cli.main(["query", "text_expressions", "--data", str(tmp_path), "--out", f"{tmp_path}/out", "--format", "tsv"]) == 0
+    assert spark.read.csv(f"{tmp_path}/out", sep="\t", header=True).count() == 7
