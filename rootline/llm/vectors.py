@@ -144,7 +144,7 @@ def _cells() -> Column:
     return F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, "c").alias("i"), F.greatest(k, "c").alias("j"), F.when(k >= F.col("c"), 0).otherwise(1).alias("side")))
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.95, window: int = 512, miss: float = 1e-4, cell: int = 1024, seed: int = 7) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.95, window: int = 512, miss: float = 1e-5, cell: int = 1024, seed: int = 7) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding)."""
     spark = vectors.sparkSession
     kind = dict(vectors.dtypes)["embedding"]
