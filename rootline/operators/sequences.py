@@ -105,64 +105,99 @@ def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: Data
 
 @lru_cache(1)
 def _scores() -> np.ndarray:
-    m = np.array([[int(x) for x in row.split()] for row in BLOSUM62.strip().splitlines()], np.int64)
-    table = np.full((128, 128), m[LETTERS.index("X"), LETTERS.index("X")], np.int64)
+    m = np.array([[int(x) for x in row.split()] for row in BLOSUM62.strip().splitlines()], np.int32)
+    table = np.full((128, 128), m[LETTERS.index("X"), LETTERS.index("X")], np.int32)
     at = np.array([ord(c) for c in LETTERS])
     table[np.ix_(at, at)] = m
     return table
 
 
-def align(a: str, b: str, local: bool = False) -> tuple[str, str, int, int, int]:
-    """Gotoh's affine alignment: both gapped strings, the starts (from 1) in a and b, and the score.
+def _codes(texts: list[str], width: int) -> np.ndarray:
+    """Letters as numbers, a column for each text."""
+    out = np.full((width, len(texts)), 127, np.uint8)
+    for k, t in enumerate(texts):
+        out[: len(t), k] = np.minimum(np.frombuffer(t.encode("ascii", "replace"), np.uint8), 127)
+    return out
 
-    A gap of n costs OPEN + (n - 1) * EXTEND, end gaps included in global mode. Where paths tie: a match before a gap in
-    b before a gap in a; a local alignment ends at the first best cell by rows.
-    """
-    s = _scores()[np.minimum(np.frombuffer(a.encode("ascii", "replace"), np.uint8), 127)][:, np.minimum(np.frombuffer(b.encode("ascii", "replace"), np.uint8), 127)].tolist()
-    n, m, low = len(a), len(b), -(10**9)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    up = [[low] * (m + 1) for _ in range(n + 1)]
-    left = [[low] * (m + 1) for _ in range(n + 1)]
+
+def _tables(a: list[str], b: list[str], local: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Letter scores and the three tables of Gotoh's recurrence for several pairs at once, [i, j, pair], by anti-diagonals.
+    What lies beyond a pair's own lengths is never looked at."""
+    n, m = max(map(len, a)), max(map(len, b))
+    letters = _scores()[_codes(a, n)[:, None, :], _codes(b, m)[None, :, :]]
+    best = np.zeros((n + 1, m + 1, len(a)), np.int32)
+    up, left = np.full_like(best, -(10**9)), np.full_like(best, -(10**9))
     if not local:
-        for i in range(1, n + 1):
-            best[i][0] = up[i][0] = -OPEN - (i - 1) * EXTEND
-        for j in range(1, m + 1):
-            best[0][j] = left[0][j] = -OPEN - (j - 1) * EXTEND
-    top = (0, 0, 0)
-    for i in range(1, n + 1):
-        row, above, u, ua, le, sc = best[i], best[i - 1], up[i], up[i - 1], left[i], s[i - 1]
-        for j in range(1, m + 1):
-            u[j] = max(above[j] - OPEN, ua[j] - EXTEND)
-            le[j] = max(row[j - 1] - OPEN, le[j - 1] - EXTEND)
-            v = max(above[j - 1] + sc[j - 1], u[j], le[j])
-            row[j] = v if not local or v > 0 else 0
-            if local and row[j] > top[0]:
-                top = (row[j], i, j)
-    i, j = (top[1], top[2]) if local else (n, m)
-    score, x, y, state = best[i][j], [], [], "m"
+        best[1:, 0] = up[1:, 0] = -OPEN - EXTEND * np.arange(n, dtype=np.int32)[:, None]
+        best[0, 1:] = left[0, 1:] = -OPEN - EXTEND * np.arange(m, dtype=np.int32)[:, None]
+    for d in range(2, n + m + 1):
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        j = d - i
+        u = np.maximum(best[i - 1, j] - OPEN, up[i - 1, j] - EXTEND)
+        le = np.maximum(best[i, j - 1] - OPEN, left[i, j - 1] - EXTEND)
+        v = np.maximum(np.maximum(best[i - 1, j - 1] + letters[i - 1, j - 1], u), le)
+        up[i, j], left[i, j], best[i, j] = u, le, np.maximum(v, 0) if local else v
+    return letters, best, up, left
+
+
+def _path(a: str, b: str, s: np.ndarray, best: np.ndarray, up: np.ndarray, left: np.ndarray, local: bool) -> tuple[str, str, int, int, int]:
+    i, j = divmod(int(best.argmax()), len(b) + 1) if local else (len(a), len(b))
+    score, x, y, state = int(best[i, j]), [], [], "m"
     while i > 0 or j > 0:
         if state == "m":
-            if local and best[i][j] == 0:
+            if local and best[i, j] == 0:
                 break
-            if i and j and best[i][j] == best[i - 1][j - 1] + s[i - 1][j - 1]:
+            if i and j and best[i, j] == best[i - 1, j - 1] + s[i - 1, j - 1]:
                 i, j = i - 1, j - 1
                 x.append(a[i])
                 y.append(b[j])
             else:
-                state = "u" if i and best[i][j] == up[i][j] else "l"
+                state = "u" if i and best[i, j] == up[i, j] else "l"
         elif state == "u":
-            state = "m" if up[i][j] == best[i - 1][j] - OPEN else "u"
+            state = "m" if up[i, j] == best[i - 1, j] - OPEN else "u"
             i -= 1
             x.append(a[i])
             y.append("-")
         else:
-            state = "m" if left[i][j] == best[i][j - 1] - OPEN else "l"
+            state = "m" if left[i, j] == best[i, j - 1] - OPEN else "l"
             j -= 1
             x.append("-")
             y.append(b[j])
     return "".join(reversed(x)), "".join(reversed(y)), i + 1, j + 1, score
 
 
+def align_all(pairs: list[tuple[str, str]], local: bool = False, most_cells: int = 2_000_000) -> list[tuple[str, str, int, int, int]]:
+    """Gotoh's affine alignment of each pair: both gapped strings, the starts (from 1) in a and b, and the score.
+
+    A gap of n costs OPEN + (n - 1) * EXTEND, end gaps included in global mode. Where paths tie: a match before a gap in
+    b before a gap in a; a local alignment ends at the first best cell by rows. Pairs of like lengths are worked on together,
+    up to ``most_cells`` cells of a table; a larger pair is worked on alone.
+    """
+    order = sorted(range(len(pairs)), key=lambda k: (len(pairs[k][0]), len(pairs[k][1])))
+    out: list = [None] * len(pairs)
+    at = 0
+    while at < len(order):
+        end, n, m = at, 0, 0
+        while end < len(order):
+            a, b = pairs[order[end]]
+            n, m = max(n, len(a)), max(m, len(b))
+            if end > at and (n + 1) * (m + 1) * (end - at + 1) > most_cells:
+                break
+            end += 1
+        own = order[at:end]
+        letters, best, up, left = _tables([pairs[k][0] for k in own], [pairs[k][1] for k in own], local)
+        for c, k in enumerate(own):
+            a, b = pairs[k]
+            i, j = len(a) + 1, len(b) + 1
+            out[k] = _path(a, b, letters[:, :, c], *(np.ascontiguousarray(t[:i, :j, c]) for t in (best, up, left)), local)
+        at = end
+    return out
+
+
+def align(a: str, b: str, local: bool = False) -> tuple[str, str, int, int, int]:
+    return align_all([(a, b)], local)[0]
+
+
 ALIGNMENT = "aligned_a string, aligned_b string, start_a int, start_b int, score int"
 
 
@@ -170,7 +205,9 @@ def _aligner(local: bool):
     @F.pandas_udf(ALIGNMENT)
     def run(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for a, b in pairs:
-            rows = [align(x, y, local) if x and y else (None,) * 5 for x, y in zip(a, b, strict=True)]
+            whole = [(x, y) for x, y in zip(a, b, strict=True) if x and y]
+            done = iter(align_all(whole, local))
+            rows = [next(done) if x and y else (None,) * 5 for x, y in zip(a, b, strict=True)]
             yield pd.DataFrame(rows, columns=["aligned_a", "aligned_b", "start_a", "start_b", "score"])
 
     return run

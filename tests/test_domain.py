@@ -192,6 +192,15 @@ def test_alignments_against_plain_recurrences(local):
             assert a[i - 1 :].startswith(x.replace("-", "")) and b[j - 1 :].startswith(y.replace("-", ""))
 
 
+@pytest.mark.parametrize("local", [False, True])
+def test_alignments_do_not_depend_on_their_company(local):
+    r = random.Random(6)
+    pairs = [tuple("".join(r.choice("ACDWKé"[: r.randrange(2, 7)]) for _ in range(r.randrange(1, 30))) for _ in "ab") for _ in range(60)]
+    alone = [sequences.align(a, b, local) for a, b in pairs]
+    assert sequences.align_all(pairs, local) == sequences.align_all(pairs, local, 50) == alone
+    assert sequences.align_all([], local) == []
+
+
 def test_peptides_are_found_everywhere(spark):
     r = random.Random(5)
     prot = ["".join(r.choice("ACD") for _ in range(60)) for _ in range(12)] + ["AAAAAAAAAA", "AC", ""]
