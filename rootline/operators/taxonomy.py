@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rootline.functions.expressions import NAMES, Names, curie, lookup, slug, taxon_id
 from rootline.operators import graph
 from rootline.operators.rank import top1
+from rootline.operators.shared import shared_table
 from rootline.operators.statements import STRING, emit, triple
 
 _EXACT, _BROAD, _RELATED = "oio:hasExactSynonym", "oio:hasBroadSynonym", "oio:hasRelatedSynonym"
@@ -78,7 +79,7 @@ def best_labels(statements: DataFrame) -> DataFrame:
     syn = statements.where("annotation is not null").select("subject", "object", synonym_type(F.col("annotation")).alias("kind")).where(F.col("kind").isin(*LABEL_SYNONYMS))
     best = syn.groupBy("subject").agg(F.min_by(F.struct("object", "kind"), F.struct(order, F.col("object"))).alias("b"))
     out = label.join(best, "subject", "left")
-    return out.select("subject", F.when(F.col("b").isNull(), F.col("label")).otherwise(F.concat("label", F.lit(" ("), "b.object", F.lit(")"))).alias("label"), F.coalesce(lookup(F.col("b.kind"), LABEL_SYNONYMS), F.lit("NCBI Taxonomy scientific name")).alias("label_source"))
+    return out.select("subject", F.when(F.col("b").isNull(), F.col("label")).otherwise(F.concat("label", F.lit(" ("), "b.object", F.lit(")"))).alias("label"), F.concat(F.lit("NCBI Taxonomy scientific name"), F.coalesce(F.concat(F.lit(" ("), lookup(F.col("b.kind"), LABEL_SYNONYMS), F.lit(")")), F.lit(""))).alias("label_source"))
 
 
 def first_writer(frames: list[DataFrame], key: str = "curie") -> DataFrame:
@@ -107,6 +108,48 @@ def assemble(core: DataFrame, local_taxa: DataFrame, include: DataFrame, counts:
     return first_writer([core, local_taxa, rows]).join(counts, "curie", "left")
 
 
+def assembly_problems(core: DataFrame, local_taxa: DataFrame, use_other: DataFrame, rows: DataFrame, root: str = "NCBITaxon:1", names: Names = NAMES) -> DataFrame:
+    """(curie, problem, detail) of an assembled tree: a node marked use_other (curie) without its 'other' child, a local taxon
+    whose label differs from the curated one, rows without a label, and rows without a parent but the root."""
+    at = lambda df, problem, detail: df.select("curie", F.lit(problem).alias("problem"), detail.alias("detail"))
+    other = F.concat(F.lit(names.local), taxon_id(F.col("curie"), names), F.lit("-other"))
+    have = rows.select(F.col("curie").alias("_other")).distinct()
+    out = at(use_other.withColumn("_other", other).join(have, "_other", "left_anti"), "missing-other", other)
+    both = local_taxa.select("curie", F.col("label").alias("_label")).join(core.select("curie", "label"), "curie").where("not (label <=> _label)")
+    out = out.unionByName(at(both, "label", F.concat("label", F.lit(" / "), "_label")))
+    blank_ = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    out = out.unionByName(at(rows.where(blank_("label")), "no-label", F.lit(None).cast("string")))
+    return out.unionByName(at(rows.where(blank_("parent") & (F.col("curie") != root)), "no-parent", F.col("label")))
+
+
+def checked_assembly(problems: DataFrame) -> None:
+    """Raises if a node lacks its 'other' child; the first of them by name is told."""
+    first = problems.where("problem = 'missing-other'").agg(F.min("curie").alias("curie")).first().curie
+    if first is not None:
+        raise ValueError(f"missing 'other' node for {first}")
+
+
+def with_species(rows: DataFrame, edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """The tree's rows with species and species_label, and rows for species that the tree lacks.
+
+    rows (curie, label, level); edges (child, parent) of the taxonomy, with single parents; labels (subject, label, label_source,
+    rank). A row that is a species is its own; an upper row has none; else the nearest taxon above of rank species, and
+    the row is lower.
+    """
+    species = labels.where("rank = 'species'").select(F.col("subject").alias("node"))
+    own = rows.where("level = 'species'").select(F.col("curie").alias("node"))
+    above = graph.nearest(edges, species.union(own).distinct())
+    found = rows.join(above.select(F.col("node").alias("curie"), F.col("found").alias("_above")), "curie", "left")
+    mine = F.when(F.col("level") == "species", F.col("curie")).when(F.coalesce("level", F.lit("")) == "upper", None).otherwise(F.col("_above"))
+    found = shared_table(found.withColumn("species", mine).drop("_above"), "species")
+    found = found.withColumn("level", F.when(F.col("species") != F.col("curie"), "lower").otherwise(F.col("level")))
+    missing = found.select(F.col("species").alias("curie")).where("curie is not null").distinct().join(rows.select("curie"), "curie", "left_anti")
+    add = missing.join(labels.select(F.col("subject").alias("curie"), "label", "label_source"), "curie", "left").withColumns({"level": F.lit("species"), "species": F.col("curie")})
+    every = found.unionByName(add, allowMissingColumns=True)
+    named = rows.select(F.col("curie").alias("species"), F.col("label").alias("_tree")).join(labels.select(F.col("subject").alias("species"), F.col("label").alias("_taxonomy")), "species", "full")
+    return every.join(named.select("species", F.coalesce("_tree", "_taxonomy").alias("species_label")), "species", "left")
+
+
 def species_of(edges: DataFrame, levels: DataFrame, use_other: DataFrame, names: Names = NAMES) -> tuple[DataFrame, DataFrame]:
     """(node, found) twice: each node's nearest species above it, and its nearest parent in the tree, sent to that one's
     'other' child where it is marked use_other (node). Only first parents count."""

@@ -704,7 +704,7 @@ def dump_to_statements(t):
 
 
 @query(f"""WITH {_DUMP}, s AS (SELECT subject, object, kind, row_number() OVER (PARTITION BY subject ORDER BY list_position(['common name', 'GenBank common name', 'equivalent name'], kind), object) AS rn FROM st WHERE kind IN ('common name', 'GenBank common name', 'equivalent name'))
- SELECT l.subject, l.object || coalesce(' (' || s.object || ')', '') AS label, CASE s.kind WHEN 'common name' THEN 'NCBI Taxonomy common name' WHEN 'GenBank common name' THEN 'GenBank common name' WHEN 'equivalent name' THEN 'NCBI Taxonomy equivalent name' ELSE 'NCBI Taxonomy scientific name' END AS label_source
+ SELECT l.subject, l.object || coalesce(' (' || s.object || ')', '') AS label, CASE s.kind WHEN 'common name' THEN 'NCBI Taxonomy scientific name (NCBI Taxonomy common name)' WHEN 'GenBank common name' THEN 'NCBI Taxonomy scientific name (GenBank common name)' WHEN 'equivalent name' THEN 'NCBI Taxonomy scientific name (NCBI Taxonomy equivalent name)' ELSE 'NCBI Taxonomy scientific name' END AS label_source
  FROM st l LEFT JOIN s ON s.subject = l.subject AND rn = 1 WHERE l.predicate = 'rdfs:label'""", *_DUMP_FIXTURES)
 def best_synonym_labels(t):
     return taxonomy.best_labels(_dump(t))
@@ -726,6 +726,27 @@ def organism_tree_rows(t):
     return taxonomy.assemble(core, local, core.select("curie"), t("counts"), _dump(t)).select("curie", "label", "parent", "level", "epitope_count")
 
 
+FIXTURES["marked"] = ("curie string", [("NCBITaxon:5", ), ("NCBITaxon:3",)])
+
+
+@query("""SELECT * FROM (VALUES ('NCBITaxon:3', 'missing-other', 'local-taxon:3-other'), ('NCBITaxon:5', 'missing-other', 'local-taxon:5-other'), ('NCBITaxon:5', 'label', 'My genus / late')) v(curie, problem, detail)""")
+def assembly_checks(t):
+    return taxonomy.assembly_problems(t("core"), t("local_taxa"), t("marked"), organism_tree_rows(t))
+
+
+FIXTURES["tree_rows"] = ("curie string, label string, level string", [("NCBITaxon:2", "Up", "upper"), ("NCBITaxon:4", "Sub", None), ("x:own", "Own", "species"), ("x:low", "Low", ""), ("NCBITaxon:1", "root", "upper")])
+
+
+@query(f"""WITH {_DUMP} SELECT * FROM (VALUES ('NCBITaxon:2', 'Up', 'upper', NULL, NULL), ('NCBITaxon:1', 'root', 'upper', NULL, NULL), ('NCBITaxon:4', 'Sub', 'lower', 'NCBITaxon:3', (SELECT object || ' (com)' FROM st WHERE subject = 'NCBITaxon:3' AND predicate = 'rdfs:label')),
+ ('x:own', 'Own', 'species', 'x:own', 'Own'), ('x:low', 'Low', 'lower', 'x:own', 'Own'), ('NCBITaxon:3', 'Twin <b> (com)', 'species', 'NCBITaxon:3', 'Twin <b> (com)')) v(curie, label, level, species, species_label)""", *_DUMP_FIXTURES)
+def species_of_rows(t):
+    s = _dump(t)
+    up = graph.first_parents(S.edges(s)).unionByName(t.spark.createDataFrame([("x:own", "NCBITaxon:2"), ("x:low", "x:own")], "child string, parent string"))
+    ranks = s.where("predicate = 'ncbitaxon:has_rank'").select("subject", F.split_part("object", F.lit(":"), F.lit(2)).alias("rank"))
+    labels = taxonomy.best_labels(s).join(ranks, "subject", "left")
+    return taxonomy.with_species(t("tree_rows"), up, labels).select("curie", "label", "level", "species", "species_label")
+
+
 FIXTURES["ranks"] = ("rank string", [("species",), ("genus",), ("subspecies",), ("superkingdom",), ("strain",), ("no rank",), (None,), ("varietas",), ("clade",)])
 
 

@@ -312,7 +312,7 @@ def test_dump_to_statements_and_labels(spark):
         assert t in got
     assert ("NCBITaxon:1", "rdfs:subClassOf", "NCBITaxon:1") not in got
     labels = {r.subject: (r.label, r.label_source) for r in taxonomy.best_labels(s).collect()}
-    assert labels["NCBITaxon:3"] == ("Twin <b> (com)", "NCBI Taxonomy common name")
+    assert labels["NCBITaxon:3"] == ("Twin <b> (com)", "NCBI Taxonomy scientific name (NCBI Taxonomy common name)")
     core = spark.createDataFrame([("NCBITaxon:1", "Root", "curated", None, None, "upper")], "curie string, label string, label_source string, parent string, parent2 string, level string")
     counts = spark.createDataFrame([("NCBITaxon:3", 5)], "curie string, epitope_count long")
     tree = taxonomy.assemble(core, core.where("1 = 0"), core.select("curie"), counts, s)
@@ -481,3 +481,10 @@ def test_core_stages_run_in_order_and_resume(spark, tmp_path, capsys):
     assert cli.main(["list"]) == 0 and "stage protein_tree" in capsys.readouterr().out
     assert cli.main(["query", "text_expressions", "--data", str(tmp_path), "--out", f"{tmp_path}/out", "--format", "tsv"]) == 0
     assert spark.read.csv(f"{tmp_path}/out", sep="\t", header=True).count() == 7
+
+
+def test_a_missing_other_node_is_an_error(spark):
+    problems = spark.createDataFrame([("NCBITaxon:5", "missing-other", "x"), ("NCBITaxon:1", "label", "y")], "curie string, problem string, detail string")
+    with pytest.raises(ValueError, match="NCBITaxon:5"):
+        taxonomy.checked_assembly(problems)
+    taxonomy.checked_assembly(problems.where("problem = 'label'"))
