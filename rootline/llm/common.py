@@ -63,6 +63,11 @@ def keep(table: Stored) -> None:
     _held.remove(table)
 
 
+def hold(table: Stored) -> None:
+    """Takes a kept table back, for an outer scratch() to delete."""
+    _held.append(table)
+
+
 @contextmanager
 def scratch() -> Iterator[None]:
     """Deletes what was stored inside; for callers that have written their result when they leave."""

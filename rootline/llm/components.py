@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rootline.llm.common import Stored, keep, scratch, stored
+from rootline.llm.common import Stored, hold, keep, scratch, stored
 
 
 # The least neighbours are stored before they are joined: a node with very many links is then one row on one side, and
@@ -40,6 +40,7 @@ def components(edges: DataFrame, label: str = "components", most: int = 60) -> D
             large = stored(_large_star(now.df, label).distinct(), label)
             after = stored(_small_star(large.df, label).where("a <> b").distinct(), label)
             keep(after)
+        hold(after)
         now.drop()
         now, have = after, mark(after)
         if have == was:

@@ -1,11 +1,14 @@
 """The pipeline's stages on the driver's smallest documents, each against brute force on its own input."""
 
+from pathlib import Path
+
 import corpus_pipeline as P
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from rootline.llm import quality, toxicity
+from rootline.llm.common import shared_dir
 from tests.conftest import SF
 from tests.llm.test_lines_shards_simhash import lines_brute
 from tests.llm.test_near import jaccard
@@ -106,7 +109,12 @@ def test_packing_holds_every_token(stages):
 
 
 def test_run_is_the_stages_in_order(spark, stages):
-    got = P.run(spark, SF).select("doc_id", "piece", "length", "ids_crc32")
+    """And leaves nothing but its result in the shared folder."""
+    at = Path(shared_dir(spark).removeprefix("file:"))
+    before = {p.name for p in at.iterdir()}
+    result = P.run(spark, SF)
+    assert {p.name.split("-")[1] for p in at.iterdir() if p.name not in before} == {"packing"}
+    got = result.select("doc_id", "piece", "length", "ids_crc32")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages["packing"][1].select("doc_id", "piece", "length", "ids_crc32").collect()))
 
 
