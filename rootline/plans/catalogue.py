@@ -491,6 +491,36 @@ def align_local(t):
     return _pairs(t, True)
 
 
+def _score_sql(local: bool) -> str:
+    """The alignment scores of all parts' two texts, a row of the table at a time: ``up`` are the scores that end in a gap
+    in b, ``pre`` those that end in no gap in a; a gap in a ends at j after starting behind any earlier k."""
+    letters, m = sequences.LETTERS, ", ".join(sequences.BLOSUM62.split())
+    o, e, unknown = sequences.OPEN, sequences.EXTEND, sequences._scores()[0, 0]
+    floor = "0" if local else "-1000000000"
+    edge = "0" if local else f"-{o} - {e} * CAST(i AS INTEGER)"
+    return f"""
+WITH RECURSIVE clean AS (SELECT p_partkey, nullif(regexp_replace(upper(p_name), '[^A-Z]', '', 'g'), '') AS a, nullif(regexp_replace(upper(p_type), '[^A-Z]', '', 'g'), '') AS b FROM part),
+ pair AS (SELECT DISTINCT a, b, '{letters}' AS letters, [{m}] AS m FROM clean WHERE a IS NOT NULL AND b IS NOT NULL),
+ wave AS (
+  SELECT a, b, letters, m, 0 AS i, list_transform(range(length(b) + 1), lambda j: CASE WHEN j = 0 THEN 0 ELSE greatest({floor}, -{o} - {e} * (j - 1)) END) AS best, list_transform(range(length(b) + 1), lambda j: CAST(-1000000000 AS BIGINT)) AS up, CAST(0 AS BIGINT) AS top FROM pair
+  UNION ALL
+  SELECT a, b, letters, m, i + 1, now, ups, greatest(top, list_max(now)) FROM (
+   SELECT *, list_transform(range(length(b) + 1), lambda j: greatest({floor}, pre[j + 1], list_max(list_concat([CAST(-1000000000 AS BIGINT)], list_transform(range(j), lambda k: pre[k + 1] - {o} - {e} * (j - k - 1)))))) AS now FROM (
+    SELECT *, list_transform(range(length(b) + 1), lambda j: CASE WHEN j = 0 THEN {edge} ELSE greatest({floor}, ups[j + 1], best[j] + CASE WHEN strpos(letters, substr(a, i + 1, 1)) = 0 OR strpos(letters, substr(b, CAST(j AS INTEGER), 1)) = 0 THEN {unknown} ELSE m[(strpos(letters, substr(a, i + 1, 1)) - 1) * {len(letters)} + strpos(letters, substr(b, CAST(j AS INTEGER), 1))] END) END) AS pre FROM (
+     SELECT *, list_transform(range(length(b) + 1), lambda j: CASE WHEN j = 0 THEN {edge} ELSE greatest(best[j + 1] - {o}, up[j + 1] - {e}) END) AS ups FROM wave WHERE i < length(a)))))
+SELECT p_partkey, w.score FROM clean LEFT JOIN (SELECT a, b, CAST({"top" if local else "best[length(b) + 1]"} AS INTEGER) AS score FROM wave WHERE i = length(a)) w USING (a, b)"""
+
+
+@query(_score_sql(False))
+def align_global_scores(t):
+    return _pairs(t, False).select("p_partkey", "score")
+
+
+@query(_score_sql(True))
+def align_local_scores(t):
+    return _pairs(t, True).select("p_partkey", "score")
+
+
 @query()
 def similarity_search(t):
     p = t("part").select(F.col("p_partkey").cast("string").alias("id"), X.clean_sequence(F.concat("p_name", "p_type")).alias("seq"))
