@@ -304,6 +304,19 @@ def turtle_round_trip(t):
     return readers.read_turtle(t.spark, at).select(*_FOUR)
 
 
+@query("""SELECT * FROM (VALUES ('x:a', 'rdf:type', 'owl:Class', '_IRI'), ('x:a', 'rdfs:label', 'A. b', '@en'), ('x:a', 'rdfs:label', 'two' || chr(10) || 'lines', 'xsd:string'), ('x:a', 'x:n', '5', 'xsd:integer'), ('x:a', 'x:n', 'true', 'xsd:boolean'),
+ ('x:b', 'rdfs:subClassOf', 'x:a', '_IRI'), ('_', 'owl:onProperty', 'x:p', '_IRI'), ('x:b', 'rdfs:subClassOf', '_', '_IRI'), ('x:b', 'x:seen', '2026-01-01', 'xsd:date'), ('x:c', 'x:p', '<http://other/d>', '_IRI')) v(subject, predicate, object, datatype)""")
+def turtle_lists(t):
+    text = """@prefix x: <http://e/> .
+# a comment, and .
+x:a a owl:Class ; rdfs:label "A. b"@en , "two\\nlines" ;
+    x:n 5 , true .
+<http://e/b> rdfs:subClassOf x:a , [ owl:onProperty x:p ] ; x:seen "2026-01-01"^^xsd:date . x:c x:p <http://other/d> ."""
+    df = readers.read_turtle(t.spark, t.text(t.folder(), text), {"x": "http://e/"})
+    bare = lambda c: F.when(F.col(c).startswith("_:"), "_").otherwise(F.col(c)).alias(c)
+    return df.select(bare("subject"), "predicate", bare("object"), "datatype")
+
+
 @query("SELECT subject, predicate, object, datatype FROM graph_rows", "graph_rows")
 def statements_round_trip(t):
     at = t.folder()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rootline.functions.expressions import blank, float_text_to_long
-from rootline.sources import schemas
+from rootline.sources import schemas, turtle
 
 # '' stays '' and a blank field is null; doubled quotes are quotes
 _CSV = {"escape": '"', "nullValue": "\u0001", "emptyValue": ""}
@@ -137,14 +137,11 @@ def read_statements(spark: SparkSession, path) -> DataFrame:
     return read_table(spark, path, schemas.STATEMENTS)
 
 
-def read_turtle(spark: SparkSession, path) -> DataFrame:
-    """Statements from Turtle with one 'subject predicate object .' a line, as our writer gives it."""
-    m = lambda i: F.regexp_extract("value", r'^(\S+)\s+(\S+)\s+(?:"((?:[^"\\]|\\.)*)"(?:\^\^(\S+?))?|(\S+))\s*\.\s*$', i)
-    lines = spark.read.text(path).where(F.trim("value").rlike(r"^[^@#\s].*\.\s*$"))
-    text = F.replace(F.replace(m(3), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
-    literal = m(5) == ""
-    kind = F.when(~literal, "_IRI").otherwise(F.coalesce(F.nullif(m(4), F.lit("")), F.lit("xsd:string")))
-    return lines.select(F.lit(1).alias("assertion"), F.lit(0).alias("retraction"), F.lit("graph").alias("graph"), m(1).alias("subject"), m(2).alias("predicate"), F.when(literal, text).otherwise(m(5)).alias("object"), kind.alias("datatype"), F.lit(None).cast("string").alias("annotation")).where("subject <> ''")
+def read_turtle(spark: SparkSession, path, prefixes: dict[str, str] | None = None) -> DataFrame:
+    """Statements from Turtle; ``prefixes`` shorten IRIs in brackets. Files are split after lines that end with a dot, so large
+    ones are read in parallel; a literal of several lines with such a line inside is an error, never other rows."""
+    rows = spark.read.text(path, lineSep=".\n").mapInPandas(turtle.parser(prefixes), "subject string, predicate string, object string, datatype string")
+    return rows.select(F.lit(1).alias("assertion"), F.lit(0).alias("retraction"), F.lit("graph").alias("graph"), "subject", "predicate", "object", "datatype", F.lit(None).cast("string").alias("annotation"))
 
 
 def with_path_key(df: DataFrame, pattern: str = r"/([^/]+)/[^/]+$", name: str = "species_taxon_id") -> DataFrame:

@@ -77,8 +77,11 @@ def json_map(rows: Iterable, key: str, value: str) -> str:
 
 def write_turtle(statements: DataFrame, path: str) -> None:
     """One statement a line, in the order of subject, predicate, object."""
-    escaped = F.replace(F.replace("object", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    literal = F.concat(F.lit('"'), escaped, F.lit('"'), F.when(F.col("datatype") == "xsd:string", "").otherwise(F.concat(F.lit("^^"), "datatype")))
+    escaped = F.col("object")
+    for char, code in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r")):
+        escaped = F.replace(escaped, F.lit(char), F.lit(code))
+    kind = F.when(F.col("datatype") == "xsd:string", "").when(F.col("datatype").startswith("@"), F.col("datatype")).otherwise(F.concat(F.lit("^^"), "datatype"))
+    literal = F.concat(F.lit('"'), escaped, F.lit('"'), kind)
     line = F.concat_ws(" ", "subject", "predicate", F.when(F.col("datatype") == "_IRI", F.col("object")).otherwise(literal), F.lit("."))
     statements.orderBy("subject", "predicate", "object").select(line).write.mode("overwrite").text(path)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rootline.functions import expressions as X
 from rootline.operators import assign, graph, mapping, metrics, ontology, protein_tree, rank, sequences, taxonomy, validate
 from rootline.operators import statements as S
-from rootline.sources import readers, writers
+from rootline.sources import readers, turtle, writers
 from rootline.streaming import incremental
 
 
@@ -46,6 +46,23 @@ def test_tables_keep_empty_strings_apart_from_nulls(spark, tmp_path):
     assert (r["Epitope ID"], r["Starting Position"], r["Organism ID"], r["Organism Name"]) == (57494, None, 9606, "")
 
 
+def test_turtle_of_several_statements(spark, tmp_path):
+    text = 'x:a x:p ( x:b "c" ) .\n[ x:p x:q ] .\nx:d x:p """long "q" text,\nmore""" ; .\r\nx:e x:p <http://e/#f>, 1.5 .\n'
+    got = turtle.parse(text)
+    first, second = (s for s, p, *_ in got if p == "rdf:first")
+    assert [r for r in got if not r[0].startswith("_:")] == [("x:a", "x:p", second, "_IRI"), ("x:d", "x:p", 'long "q" text,\nmore', "xsd:string"), ("x:e", "x:p", "<http://e/#f>", "_IRI"), ("x:e", "x:p", "1.5", "xsd:decimal")]
+    assert {(second, "rdf:rest", first, "_IRI"), (first, "rdf:rest", "rdf:nil", "_IRI"), (first, "rdf:first", "c", "xsd:string")} <= set(got)
+    assert [r[1:] for r in got if r[0].startswith("_:") and r[1] == "x:p"] == [("x:p", "x:q", "_IRI")]
+    for wrong in ("x:a x:b", 'x:a x:b "c', 'x:a x:b """c.', "x:a x:b x:c x:d .", "x:a x:b [ x:c x:d .", "x:a x:b ( x:c"):
+        with pytest.raises(ValueError):
+            turtle.parse(wrong)
+    assert turtle.parse("") == turtle.parse("# only a comment") == turtle.parse("@prefix x: <http://e/> ") == []
+    kinds = [("x:a", "x:p", 'l1.\nl2 \\ "q"', "xsd:string"), ("x:a", "x:p", "hallo", "@de"), ("x:a", "x:p", "5", "xsd:integer"), ("x:a", "x:p", "x:b", "_IRI")]
+    s = spark.createDataFrame(kinds, "subject string, predicate string, object string, datatype string")
+    writers.write_turtle(s, f"{tmp_path}/k.ttl")
+    assert sorted(tuple(r) for r in readers.read_turtle(spark, f"{tmp_path}/k.ttl").select(*s.columns).collect()) == sorted(kinds)
+
+
 def test_dump_json_map_turtle_and_statements_round_trip(spark, tmp_path):
     (tmp_path / "names.dmp").write_text("1\t|\troot\t|\t\t|\tscientific name\t|\n2\t|\tBacteria\t|\tBacteria <b>\t|\tscientific name\t|\n")
     assert rows(readers.read_dump(spark, f"{tmp_path}/names.dmp", "names")) == [("1", "root", "", "scientific name"), ("2", "Bacteria", "Bacteria <b>", "scientific name")]
