@@ -53,7 +53,7 @@ def _by_shard(words: set[str], shards: int) -> dict[int, list[str]]:
     return out
 
 
-def _blocker(most: int):
+def blocker(most: int):
     """(doc_id, text) -> (block, docs): about ``most`` bytes of text to a block, as compressed Arrow."""
 
     def close(n: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -93,7 +93,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // most))
     shards = max(8, -(-size // (most * shard_blocks)))
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidied(_blocker(most)), "block long, docs binary").repartition(blocks, "block")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidied(blocker(most)), "block long, docs binary").repartition(blocks, "block")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = vocab.pieces_of(pattern).findall

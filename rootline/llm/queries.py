@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootline.llm import bpe, fingerprints, licenses, linededup, packing, quality, sharding, simhash, toxicity, vectors
+from rootline.llm import bpe, conversations, fillin, fingerprints, licenses, linededup, packing, quality, sharding, simhash, suffix, toxicity, vectors
 from rootline.llm.common import table
 
 
@@ -54,6 +54,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fillin.digests(fillin.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_packing": op1_packing,
@@ -66,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vectors": op8_vectors,
     "op9_sharding": op9_sharding,
     "op10_line_dedup": op10_line_dedup,
+    "op11_repair": op11_repair,
+    "op12_suffix": op12_suffix,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _TEMPLATES = ", ".join(f"('{n}', '{t}')" for n, t in licenses.TEMPLATES.items())
@@ -111,5 +126,44 @@ marked AS (SELECT k.*, c.key IS NOT NULL AS gone FROM keyed k LEFT JOIN common c
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op11_repair": r"""
+WITH RECURSIVE bits AS (SELECT list(list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) r(i)),
+keyed AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key, row_number() OVER () AS rid FROM conversations),
+hashed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, rid,
+  xor(list_reduce(list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS h FROM keyed, bits),
+damaged AS (SELECT conv_id, turn, rid, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hashed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, rid, copy) AS k, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, rid, copy) AS seen FROM damaged),
+f AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) || left(role, 1) AS pair FROM placed),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+dp AS (
+  SELECT conv_id, 0 AS k, {c: CAST(0 AS HUGEINT), a: '', x: CAST([] AS VARCHAR[])} AS v0, {c: CAST(1000000000 AS HUGEINT), a: '', x: CAST([] AS VARCHAR[])} AS v1, {c: CAST(2 AS HUGEINT), a: 'I', x: ['user:']} AS v2, {c: CAST(4 AS HUGEINT), a: 'II', x: ['user:', 'assistant:']} AS v3 FROM convs
+  UNION ALL
+  SELECT conv_id, k, n0, n1, m2, list_min([n3, {c: m2.c + 2, a: m2.a || 'I', x: m2.x || ['assistant:']}]) FROM (
+    SELECT *, list_min([n2, {c: n0.c + 2, a: n0.a || 'I', x: n0.x || ['user:']}, {c: n1.c + 2, a: n1.a || 'I', x: n1.x || ['user:']}, {c: n3.c + 2, a: n3.a || 'I', x: n3.x || ['user:']}]) AS m2 FROM (
+      SELECT dp.conv_id, f.k, {c: v0.c + 3, a: v0.a || 'D', x: v0.x} AS n0,
+        list_min([{c: v1.c + 3, a: v1.a || 'D', x: v1.x}, {c: v0.c + w + CASE WHEN i = 's' THEN 0 ELSE 1000000000 END, a: v0.a || 'K', x: v0.x || [line]}]) AS n1,
+        list_min([{c: v2.c + 3, a: v2.a || 'D', x: v2.x}]
+          || list_transform([v0, v1, v3], lambda v: {c: v.c + w + CASE WHEN i = 'u' THEN 0 ELSE 1000000000 END, a: v.a || 'K', x: v.x || [line]})
+          || list_transform([v0, v1, v3], lambda v: {c: v.c + w + 2, a: v.a || 'R', x: v.x || ['user:' || text]})) AS n2,
+        list_min([{c: v3.c + 3, a: v3.a || 'D', x: v3.x}, {c: v2.c + w + CASE WHEN i = 'a' THEN 0 ELSE 1000000000 END, a: v2.a || 'K', x: v2.x || [line]}, {c: v2.c + w + 2, a: v2.a || 'R', x: v2.x || ['assistant:' || text]}]) AS n3
+      FROM dp JOIN (SELECT *, role || ':' || text AS line, CASE fault WHEN '' THEN 0 WHEN 'truncated' THEN 1 ELSE 1000000000 END AS w FROM f) f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.k = dp.k + 1))),
+best AS (SELECT conv_id, list_min([v0, v3]) AS v FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) AS last FROM dp) WHERE last = 1),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT best.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(v.c AS BIGINT) AS cost, v.a AS audit, sha256(array_to_string(v.x, chr(10))) AS repaired_sha256 FROM best LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM best.conv_id
+""",
+    "op13_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hx FROM documents),
+h AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(hx, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(hx, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(hx, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(hx, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS q,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+x AS (SELECT *, substring(t, 1, p) AS a, substring(t, p + 1, q - p) AS b, substring(t, q + 1, n) AS z FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(p AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(q - p AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256, sha256(t) AS restored_sha256 FROM x
 """,
 }
