@@ -13,6 +13,8 @@ import numpy as np
 
 U = np.uint64
 BASE = 32
+#: Bytes that are named together.
+SEGMENT = 1 << 17
 _LIMIT = 1 << 24  # bytes of a segment's buffer: places in it take 24 bits
 _MUL = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))
 
@@ -73,27 +75,20 @@ class Windows:
     def __getitem__(self, at) -> Windows:
         return Windows(self.lo[at], self.rel[at], self.width[at])
 
-    def hulls(self, data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes that the runs cover, one run after the other, and where each begins."""
-        own = self.width + size - 1
-        total = np.cumsum(own)
-        start = total - own
-        return data[np.arange(total[-1] if len(own) else 0) + np.repeat(self.lo - start, own)], start
-
 
 def _tagged(key: np.ndarray, tag: np.ndarray | int) -> np.ndarray:
     key[:, 0] ^= _scramble((np.asarray(tag).astype(np.uint64) + U(1)) * U(0xA0761D6478BD642F))
     return key
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, size: int, segment: int = 1 << 19) -> tuple[Windows, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, ends: np.ndarray, size: int, segment: int = 0) -> tuple[Windows, np.ndarray, np.ndarray]:
     """The windows of ``size`` bytes inside texts, by their anchor: the place of the least 32-byte name in a window, the first
     of equal ones; with the names of the anchors' 32 bytes and those of the runs' hulls (first window's start to last one's
     end). ``ends``: of the texts in the data.
 
     Equal windows have their anchors at equal distances. The data are worked on in segments, whatever the lengths of texts.
     """
-    span = size - BASE + 1
+    span, segment = size - BASE + 1, segment or SEGMENT
     out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)] + [[np.zeros((0, 2), np.uint64)] for _ in range(2)]
     starts = np.concatenate([[0], ends[:-1]])
     for s in range(0, len(data), segment):
@@ -140,15 +135,49 @@ def cut(w: Windows, span: int) -> tuple[Windows, np.ndarray]:
     return Windows(w.lo[run] + w.rel[run] - far, far, far - close + 1), run
 
 
-def shared_names(w: Windows, data: np.ndarray, size: int, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of runs cut by ``span``: the names of what all windows at a part's distances share, and of the parts' hulls."""
-    hulls, start = w.hulls(data, size)
-    if not len(start):
-        return np.zeros((0, 2), np.uint64), np.zeros((0, 2), np.uint64)
-    base, j = base_names(hulls), w.rel // span
-    inner, length = start + w.rel - j * span, size - span + 1
-    own = np.stack([x[inner] for x in base], 1) if length == BASE else names(base, inner, length)
-    return _tagged(own, j), names(base, start, w.width + size - 1)
+def _gathered(data: np.ndarray, lo: np.ndarray, length: np.ndarray):
+    """For segments of stretches: which they are, where each begins, and the names of their bytes. A segment at a time is
+    gathered, so that the arrays stay in the processor's cache."""
+    for k in _parts(np.cumsum(length), SEGMENT):
+        start = np.cumsum(length[k]) - length[k]
+        yield k, start, base_names(data[np.arange(start[-1] + length[k][-1]) + np.repeat(lo[k] - start, length[k])])
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros((0, 2), np.uint64), *parts])
+
+
+def _inner(base: list[np.ndarray], at: np.ndarray, length: int, tag: np.ndarray) -> np.ndarray:
+    return _tagged(np.stack([x[at] for x in base], 1) if length == BASE else names(base, at, length), tag)
+
+
+def shared_names(w: Windows, data: np.ndarray, size: int, span: int) -> np.ndarray:
+    """Of runs cut by ``span``: the names of what all windows at a part's distances from the anchor share."""
+    j, length = w.rel // span, size - span + 1
+    lo = w.lo + w.rel - j * span
+    return _joined([_inner(base, start, length, j[k]) for k, start, base in _gathered(data, lo, np.full(len(lo), length))])
+
+
+def cut_names(w: Windows, data: np.ndarray, size: int, span: int) -> tuple[Windows, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs cut by ``span``: the parts, the run of each, the names of what their windows share, and of their hulls."""
+    own, run = cut(w, span)
+    j, inner, hull = own.rel // span, [], []
+    for k, start, base in _gathered(data, w.lo, w.width + size - 1):
+        of = slice(*np.searchsorted(run, [k.start, k.stop]))
+        at = start[run[of] - k.start] + (own.lo[of] - w.lo[run[of]])
+        hull.append(names(base, at, own.width[of] + size - 1))
+        if span > 1:
+            inner.append(_inner(base, at + own.rel[of] - j[of] * span, size - span + 1, j[of]))
+    return own, run, _joined(inner if span > 1 else hull), _joined(hull)
+
+
+def _parts(total: np.ndarray, most: int):
+    """Slices of what adds up to ``most`` each, or is one alone."""
+    at = 0
+    while at < len(total):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        yield slice(at, end)
+        at = end
 
 
 def distinct(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -121,8 +121,8 @@ class _Finder:
         if level == 0:
             w, inner, hull = repeats.anchors(data, ends, self.size)
             return w, np.zeros(len(w.lo), bool), inner, hull
-        w, run = repeats.cut(state["windows"], self.spans[level])
-        return w, state["witness"][run], *repeats.shared_names(w, data, self.size, self.spans[level])
+        w, run, inner, hull = repeats.cut_names(state["windows"], data, self.size, self.spans[level])
+        return w, state["witness"][run], inner, hull
 
     def _asked(self, level: int, witness: np.ndarray, inner: np.ndarray, hull: np.ndarray) -> _Question:
         weight = 1 + witness.astype(np.uint8)
@@ -151,7 +151,7 @@ class _Finder:
 
     def call(self, level: int, data: np.ndarray, state: dict) -> _Question:
         """Parts that aren't decided announce what they share; possible witnesses ask whether anyone did."""
-        inner, _ = repeats.shared_names(state["windows"], data, self.size, self.spans[level])
+        inner = repeats.shared_names(state["windows"], data, self.size, self.spans[level])
         return _Question(inner, np.where(state["witness"], 0, 2).astype(np.uint8), self.shards)
 
     def heed(self, level: int, data: np.ndarray, state: dict, got: dict) -> dict:
