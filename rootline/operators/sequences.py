@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rootline.operators import seeds
 from rootline.operators.shared import shared_table
 
 #: BLOSUM62 (Henikoff and Henikoff 1992), rows and columns in this order.
@@ -46,7 +47,7 @@ BLOSUM62 = """
  0 -1 -1 -1 -2 -1 -1 -1 -1 -1 -1 -1 -1 -1 -2  0  0 -2 -1 -1 -1 -1 -1 -4
 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4  1
 """
-OPEN, EXTEND = 11, 1
+OPEN, EXTEND = seeds.OPEN, seeds.EXTEND
 
 
 def kmers(seq: Column, k: int) -> Column:
@@ -104,7 +105,7 @@ def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: Data
 
 
 @lru_cache(1)
-def _scores() -> np.ndarray:
+def letter_scores() -> np.ndarray:
     m = np.array([[int(x) for x in row.split()] for row in BLOSUM62.strip().splitlines()], np.int32)
     table = np.full((128, 128), m[LETTERS.index("X"), LETTERS.index("X")], np.int32)
     at = np.array([ord(c) for c in LETTERS])
@@ -124,7 +125,7 @@ def _tables(a: list[str], b: list[str], local: bool) -> tuple[np.ndarray, np.nda
     """Letter scores and the three tables of Gotoh's recurrence for several pairs at once, [i, j, pair], by anti-diagonals.
     What lies beyond a pair's own lengths is never looked at."""
     n, m = max(map(len, a)), max(map(len, b))
-    letters = _scores()[_codes(a, n)[:, None, :], _codes(b, m)[None, :, :]]
+    letters = letter_scores()[_codes(a, n)[:, None, :], _codes(b, m)[None, :, :]]
     best = np.zeros((n + 1, m + 1, len(a)), np.int32)
     up, left = np.full_like(best, -(10**9)), np.full_like(best, -(10**9))
     if not local:
@@ -224,24 +225,32 @@ def aligned(pairs: DataFrame, a: str, b: str, local: bool = False) -> DataFrame:
 LAMBDA, KAPPA = 0.267, 0.041
 
 
-def similarity_join(queries: DataFrame, query: str, qseq: str, subjects: DataFrame, subject: str, sseq: str, k: int = 3, least_shared: int = 2, top: int = 50, evalue: float | None = None) -> DataFrame:
+def similarity_join(
+    queries: DataFrame, query: str, qseq: str, subjects: DataFrame, subject: str, sseq: str, k: int = 3, least_shared: int = 2, top: int = 50, evalue: float | None = None, exact: bool | None = None
+) -> DataFrame:
     """The 12 alignment columns for the best subjects of each query. Bit scores and E-values follow from the raw score, the
     query's length and all letters of the subjects (without corrections for the ends); ``evalue`` keeps those up to it.
 
-    Every distinct subject sequence that shares ``least_shared`` distinct k-mers with the query's is aligned locally, however
-    common the k-mers are. Of the alignments the ``top`` best of each query stay: by score, then shared k-mers, then subject.
+    With an ``evalue`` the distinct pairs aligned are those that are worth it (``seeds.py``): two word hits on a diagonal, an
+    ungapped extension and a band with gaps that come near the score that the E-value asks for; a weak hit may be missed. ``exact``, or no ``evalue``: every
+    pair that shares ``least_shared`` distinct k-mers, which for long sequences is nearly every pair. Of the alignments the
+    ``top`` best of each query stay: by score, then shared k-mers or the extension's score, then subject.
     """
     qs = shared_table(queries.select(F.col(qseq).alias("_q")).where("_q is not null").distinct().withColumn("_a", F.monotonically_increasing_id()), "query-sequences")
     ss = shared_table(subjects.where(F.col(sseq).isNotNull()).groupBy(F.col(sseq).alias("_s")).agg(F.min(subject).alias("_least")).withColumn("_b", F.monotonically_increasing_id()), "subject-sequences")
-    grams = lambda df, i, s: df.select(i, F.explode(F.array_distinct(kmers(F.col(s), k))).alias("kmer"))
-    shared = grams(qs, "_a", "_q").join(grams(ss, "_b", "_s"), "kmer").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least_shared)
+    letters = subjects.agg(F.sum(F.length(sseq))).first()[0] or 0
+    if exact or (exact is None and evalue is None):
+        grams = lambda df, i, s: df.select(i, F.explode(F.array_distinct(kmers(F.col(s), k))).alias("kmer"))
+        shared = grams(qs, "_a", "_q").join(grams(ss, "_b", "_s"), "kmer").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least_shared)
+    else:
+        asked = lambda n: (math.log(n * max(letters, 1) / evalue) + math.log(KAPPA)) / LAMBDA if evalue else 0.0
+        shared = seeds.seeded_pairs(qs, "_a", "_q", ss, "_b", "_s", asked).select(F.col("query").alias("_a"), F.col("subject").alias("_b"), F.col("ungapped").alias("shared"))
     pairs = shared.join(qs, "_a").join(ss, "_b").withColumn("_x", _aligner(True)(F.col("_q"), F.col("_s"))).select("_a", "_q", "_s", "shared", "_least", "_x.*").where(F.length("aligned_a") > 0)
     # a subject among the best has one of the first sequences, and is among the first subjects that have it
     first = lambda df, by, *order: df.withColumn("_rn", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_rn") <= top).drop("_rn")
     best = first(pairs, "_a", F.col("score").desc(), F.col("shared").desc(), "_least")
     named = first(subjects.select(subject, F.col(sseq).alias("_s")).distinct(), "_s", subject)
     found = best.join(queries.select(query, F.col(qseq).alias("_q")).distinct(), "_q").join(named, "_s")
-    letters = subjects.agg(F.sum(F.length(sseq))).first()[0] or 0
     bits = (LAMBDA * F.col("score") - math.log(KAPPA)) / math.log(2)
     found = found.withColumn("_bits", bits).withColumn("_e", F.length("_q") * F.lit(letters) * F.pow(F.lit(2.0), -F.col("_bits")))
     found = found if evalue is None else found.where(F.col("_e") <= evalue)

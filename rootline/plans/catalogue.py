@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -491,24 +492,32 @@ def align_local(t):
     return _pairs(t, True)
 
 
-def _score_sql(local: bool) -> str:
-    """The alignment scores of all parts' two texts, a row of the table at a time: ``up`` are the scores that end in a gap
+def _wave_sql(local: bool, pairs: str) -> str:
+    """CTEs from ``pairs`` (a, b) to scored (a, b, score): alignment scores, a row of the table at a time: ``up`` are the scores that end in a gap
     in b, ``pre`` those that end in no gap in a; a gap in a ends at j after starting behind any earlier k."""
     letters, m = sequences.LETTERS, ", ".join(sequences.BLOSUM62.split())
-    o, e, unknown = sequences.OPEN, sequences.EXTEND, sequences._scores()[0, 0]
+    o, e, unknown = sequences.OPEN, sequences.EXTEND, sequences.letter_scores()[0, 0]
     floor = "0" if local else "-1000000000"
     edge = "0" if local else f"-{o} - {e} * CAST(i AS INTEGER)"
     return f"""
-WITH RECURSIVE clean AS (SELECT p_partkey, nullif(regexp_replace(upper(p_name), '[^A-Z]', '', 'g'), '') AS a, nullif(regexp_replace(upper(p_type), '[^A-Z]', '', 'g'), '') AS b FROM part),
- pair AS (SELECT DISTINCT a, b, '{letters}' AS letters, [{m}] AS m FROM clean WHERE a IS NOT NULL AND b IS NOT NULL),
+ pair AS (SELECT DISTINCT a, b, '{letters}' AS letters, [{m}] AS m FROM {pairs} WHERE a IS NOT NULL AND b IS NOT NULL),
  wave AS (
   SELECT a, b, letters, m, 0 AS i, list_transform(range(length(b) + 1), lambda j: CASE WHEN j = 0 THEN 0 ELSE greatest({floor}, -{o} - {e} * (j - 1)) END) AS best, list_transform(range(length(b) + 1), lambda j: CAST(-1000000000 AS BIGINT)) AS up, CAST(0 AS BIGINT) AS top FROM pair
   UNION ALL
   SELECT a, b, letters, m, i + 1, now, ups, greatest(top, list_max(now)) FROM (
    SELECT *, list_transform(range(length(b) + 1), lambda j: greatest({floor}, pre[j + 1], list_max(list_concat([CAST(-1000000000 AS BIGINT)], list_transform(range(j), lambda k: pre[k + 1] - {o} - {e} * (j - k - 1)))))) AS now FROM (
     SELECT *, list_transform(range(length(b) + 1), lambda j: CASE WHEN j = 0 THEN {edge} ELSE greatest({floor}, ups[j + 1], best[j] + CASE WHEN strpos(letters, substr(a, i + 1, 1)) = 0 OR strpos(letters, substr(b, CAST(j AS INTEGER), 1)) = 0 THEN {unknown} ELSE m[(strpos(letters, substr(a, i + 1, 1)) - 1) * {len(letters)} + strpos(letters, substr(b, CAST(j AS INTEGER), 1))] END) END) AS pre FROM (
-     SELECT *, list_transform(range(length(b) + 1), lambda j: CASE WHEN j = 0 THEN {edge} ELSE greatest(best[j + 1] - {o}, up[j + 1] - {e}) END) AS ups FROM wave WHERE i < length(a)))))
-SELECT p_partkey, w.score FROM clean LEFT JOIN (SELECT a, b, CAST({"top" if local else "best[length(b) + 1]"} AS INTEGER) AS score FROM wave WHERE i = length(a)) w USING (a, b)"""
+     SELECT *, list_transform(range(length(b) + 1), lambda j: CASE WHEN j = 0 THEN {edge} ELSE greatest(best[j + 1] - {o}, up[j + 1] - {e}) END) AS ups FROM wave WHERE i < length(a))))),
+ scored AS (SELECT a, b, CAST({"top" if local else "best[length(b) + 1]"} AS INTEGER) AS score FROM wave WHERE i = length(a))"""
+
+
+_CLEAN = "nullif(regexp_replace(upper({}), '[^A-Z]', '', 'g'), '')"
+
+
+def _score_sql(local: bool) -> str:
+    return f"""
+WITH RECURSIVE clean AS (SELECT p_partkey, {_CLEAN.format("p_name")} AS a, {_CLEAN.format("p_type")} AS b FROM part), {_wave_sql(local, "clean")}
+SELECT p_partkey, scored.score FROM clean LEFT JOIN scored USING (a, b)"""
 
 
 @query(_score_sql(False))
@@ -528,6 +537,24 @@ def similarity_search(t):
     return sequences.similarity_join(q.withColumnRenamed("id", "qid").withColumnRenamed("seq", "qseq"), "qid", "qseq", p, "id", "seq", top=5)
 
 
+_EXPECTED = 1.0
+
+
+@query(f"""
+WITH RECURSIVE p AS (SELECT CAST(p_partkey AS VARCHAR) AS id, {_CLEAN.format("p_name || p_type")} AS seq FROM part),
+ q AS (SELECT id, seq FROM p JOIN supplier ON id = CAST(s_suppkey AS VARCHAR)),
+ met AS (SELECT DISTINCT q.seq AS a, p.seq AS b FROM (SELECT DISTINCT seq FROM q) q, (SELECT DISTINCT seq FROM p) p), {_wave_sql(True, "met")}
+SELECT q.id AS "Query", p.id AS "Subject", score, round((({sequences.LAMBDA} * score - ln({sequences.KAPPA})) / ln(2)), 6) AS bits FROM q JOIN scored ON q.seq = a JOIN p ON p.seq = b
+WHERE length(a) * (SELECT sum(length(seq)) FROM p) * power(2.0, -(({sequences.LAMBDA} * score - ln({sequences.KAPPA})) / ln(2))) <= {_EXPECTED}""")
+def similarity_hits(t):
+    """All hits up to an E-value of 1, by word hits and extensions; the oracle aligns all pairs."""
+    p = t("part").select(F.col("p_partkey").cast("string").alias("id"), X.clean_sequence(F.concat("p_name", "p_type")).alias("seq"))
+    q = t("supplier").join(p, p.id == F.col("s_suppkey").cast("string")).select(F.col("id").alias("qid"), F.col("seq").alias("qseq"))
+    hits = sequences.similarity_join(q, "qid", "qseq", p, "id", "seq", top=1 << 30, evalue=_EXPECTED)
+    score = F.round((F.col("Bit Score") * math.log(2) + math.log(sequences.KAPPA)) / sequences.LAMBDA).cast("int")
+    return hits.select("Query", "Subject", score.alias("score"), F.round("Bit Score", 6).alias("bits"))
+
+
 # -- validation -------------------------------------------------------------------------------------------------------
 
 

@@ -179,7 +179,7 @@ def test_ordered_rules_and_extracts(spark):
 
 def gotoh_score(a, b, local):
     """The score alone, by the plain recurrences over all gap lengths."""
-    t = sequences._scores()
+    t = sequences.letter_scores()
     n, m = len(a), len(b)
     gap = lambda k: -(sequences.OPEN + (k - 1) * sequences.EXTEND)
     h = [[0] * (m + 1) for _ in range(n + 1)]
