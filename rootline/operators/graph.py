@@ -7,6 +7,8 @@ lost executors.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +19,16 @@ def _shared(df: DataFrame) -> DataFrame:
     return shared_table(df, "graph")
 
 
-def closure(edges: DataFrame, seeds: DataFrame | None = None, down: bool = True, most: int = 64) -> DataFrame:
+def _merged(reached: DataFrame, level: int) -> DataFrame:
+    """Every 16th level what was reached becomes one table, so that the plan stays short on deep graphs."""
+    return _shared(reached) if level % 16 == 0 else reached
+
+
+def closure(edges: DataFrame, seeds: DataFrame | None = None, down: bool = True, most: int | None = None) -> DataFrame:
     """(ancestor, node, depth) for each seed and what it reaches, itself at depth 0; depth is the shortest path.
 
     edges (child, parent); seeds (node), all nodes by default. down walks to descendants (seeds are the ancestors), else
-    to ancestors (seeds are the nodes). Raises if ``most`` levels don't suffice.
+    to ancestors (seeds are the nodes). It ends when a level adds nothing; ``most``: raise beyond so many levels.
     """
     near, far = ("parent", "child") if down else ("child", "parent")
     step = edges.where("child is not null and parent is not null").select(F.col(near).alias("at"), F.col(far).alias("to")).distinct()
@@ -29,14 +36,15 @@ def closure(edges: DataFrame, seeds: DataFrame | None = None, down: bool = True,
         seeds = step.select(F.col("at").alias("node")).union(step.select(F.col("to").alias("node")))
     reached = _shared(seeds.select(F.col("node").alias("seed"), F.col("node").alias("at"), F.lit(0).alias("depth")).distinct())
     frontier = reached
-    for depth in range(1, most + 1):
+    for depth in itertools.count(1):
+        if most is not None and depth > most:
+            raise RuntimeError(f"closure: deeper than {most} levels")
         new = frontier.join(step, "at").select("seed", F.col("to").alias("at")).distinct()
         new = _shared(new.join(reached, ["seed", "at"], "left_anti").withColumn("depth", F.lit(depth)))
         if new.isEmpty():
             pair = ("seed", "at") if down else ("at", "seed")
             return reached.select(F.col(pair[0]).alias("ancestor"), F.col(pair[1]).alias("node"), "depth")
-        reached, frontier = reached.union(new), new
-    raise RuntimeError(f"closure: deeper than {most} levels")
+        reached, frontier = _merged(reached.union(new), depth), new
 
 
 def reachable(edges: DataFrame, seeds: DataFrame, down: bool = True) -> DataFrame:
@@ -45,12 +53,11 @@ def reachable(edges: DataFrame, seeds: DataFrame, down: bool = True) -> DataFram
     step = edges.select(F.col(near).alias("node"), F.col(far).alias("to")).where("node is not null and to is not null").distinct()
     reached = _shared(seeds.select("node").distinct())
     frontier = reached
-    for _ in range(64):
+    for level in itertools.count(1):
         new = _shared(frontier.join(step, "node").select(F.col("to").alias("node")).distinct().join(reached, "node", "left_anti"))
         if new.isEmpty():
             return reached
-        reached, frontier = reached.union(new), new
-    raise RuntimeError("reachable: deeper than 64 levels")
+        reached, frontier = _merged(reached.union(new), level), new
 
 
 def without_path_to(edges: DataFrame, nodes: DataFrame, root) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rootline.functions import expressions as X
-from rootline.operators import graph, joins, metrics, ontology, rank, sequences, statements, validate
+from rootline.operators import graph, joins, metrics, ontology, rank, sequences, statements, tree, validate
 from rootline.operators.shared import shared_folder
 from rootline.sources.readers import fasta_header
 
@@ -329,7 +329,7 @@ def closure_pairs(t):
 def root_reachability(t):
     e = _edges(t)
     nodes = e.select(F.col("child").alias("node")).union(e.select("parent")).distinct()
-    return graph.without_path_to(e, nodes, "r1")
+    return nodes.join(tree.below(tree.labels(e), "r1"), "node", "left_anti")
 
 
 @query(_CLOSURE + """
@@ -338,7 +338,7 @@ SELECT node, ancestor AS found FROM (SELECT *, row_number() OVER (PARTITION BY n
 def nearest_ancestor(t):
     e = _edges(t)
     wanted = e.select(F.col("parent").alias("node")).where("node like 'r%' or node in ('n1', 'n3', 'n5', 'n7')")
-    return graph.nearest(graph.first_parents(e), wanted)
+    return tree.nearest(graph.first_parents(e), wanted)
 
 
 @query(_CLOSURE + """
@@ -346,7 +346,30 @@ def nearest_ancestor(t):
 SELECT c.ancestor AS node, CAST(sum(v.n) AS BIGINT) AS total FROM c JOIN v ON c.node = v.node GROUP BY 1""")
 def subtree_rollup(t):
     values = t("orders").groupBy(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("node")).agg(F.count(F.lit(1)).alias("n"))
-    return graph.rollup(_edges(t), values, "n")
+    return tree.subtree_sums(_edges(t), values, "n")
+
+
+@query(f"""
+WITH RECURSIVE e AS ({_EDGES}), w(node, path, depth) AS (SELECT 'root', ['root'], 0 UNION ALL SELECT e.child, list_append(w.path, e.child), depth + 1 FROM w JOIN e ON e.parent = w.node),
+n AS (SELECT *, row_number() OVER (ORDER BY path) - 1 AS pre FROM w)
+SELECT a.node, CAST(a.depth AS BIGINT) AS depth, a.pre, (SELECT count(*) FROM n b WHERE b.path[a.depth + 1] = a.node) AS size FROM n a""")
+def depth_first_labels(t):
+    """Every node's place in depth-first order, and how many follow below it."""
+    return tree.labels(_edges(t)).select("node", "depth", "pre", "size")
+
+
+@query(_CLOSURE + """
+, s AS (SELECT 's' || s_suppkey AS node, s_acctbal FROM supplier), v AS (SELECT 'n' || n_nationkey AS top FROM nation WHERE n_nationkey < 5 UNION ALL SELECT 'r' || r_regionkey FROM region)
+SELECT top, count(*) AS suppliers FROM v JOIN c ON c.ancestor = v.top JOIN s ON s.node = c.node GROUP BY top""")
+def suppliers_below(t):
+    """Ancestor tests by numbers: the suppliers in the subtree of some nations and of all regions."""
+    own = tree.labels(_edges(t))
+    top = own.where("node like 'r_' or node in ('n0', 'n1', 'n2', 'n3', 'n4')").select(F.col("node").alias("top"), "pre", (F.col("pre") + F.col("size")).alias("end"))
+    # a sorted union instead of a join by range: each supplier counts once, and a top takes the difference of two counts
+    marks = own.where("node like 's%'").select("pre", F.lit(1).alias("n"), F.lit(None).cast("string").alias("top"), F.lit(0).alias("sign"))
+    edge = lambda at, sign: top.select(F.col(at).alias("pre"), F.lit(0).alias("n"), "top", F.lit(sign).alias("sign"))
+    counted = tree.running(marks.union(edge("pre", -1)).union(edge("end", 1)), "pre", "n", "so_far")
+    return counted.where("top is not null").groupBy("top").agg(F.sum(F.col("sign") * F.col("so_far")).cast("long").alias("suppliers")).where("suppliers > 0")
 
 
 @query(f"""
