@@ -141,6 +141,91 @@ def _tables(a: list[str], b: list[str], local: bool) -> tuple[np.ndarray, np.nda
     return letters, best, up, left
 
 
+def _row(letters: np.ndarray, best: np.ndarray, up: np.ndarray, edge: int, local: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The next row of the three tables; ``edge``: the first cell, below the last row's first. A gap in a starts behind any
+    earlier column, so the best start is a running maximum."""
+    at = EXTEND * np.arange(len(best), dtype=np.int32)
+    up = np.maximum(best - OPEN, up - EXTEND)
+    now = up.copy()
+    now[1:] = np.maximum(now[1:], best[:-1] + letters)
+    now[0] = edge
+    if local:
+        np.maximum(now, 0, out=now)
+    left = np.full_like(now, -(10**9))
+    left[1:] = np.maximum.accumulate(now + at)[:-1] - at[:-1] - OPEN
+    return np.maximum(now, left), up, left
+
+
+def _first_row(m: int, local: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    best = np.zeros(m + 1, np.int32)
+    up, left = np.full_like(best, -(10**9)), np.full_like(best, -(10**9))
+    if not local:
+        best[1:] = left[1:] = -OPEN - EXTEND * np.arange(m, dtype=np.int32)
+    return best, up, left
+
+
+def align_long(a: str, b: str, local: bool = False) -> tuple[str, str, int, int, int]:
+    """The same alignment as by whole tables, in memory for about 5 x sqrt(len(a)) rows of them.
+
+    A first pass keeps every sqrt(n)-th row; the path is then walked backward, and the rows between two kept ones are worked out
+    again when it gets there. So ties are broken as ever, at twice the time.
+    """
+    n, m = len(a), len(b)
+    x, y = _codes([a], n)[:, 0], _codes([b], m)[:, 0]
+    table, every = letter_scores()[:, y], max(1, math.isqrt(n))
+    edge = lambda i: 0 if local else -OPEN - EXTEND * (i - 1)
+    best, up, left = _first_row(m, local)
+    kept, top, end = [(best, up, left)], 0, (0, 0)
+    for i in range(1, n + 1):
+        best, up, left = _row(table[x[i - 1]], best, up, edge(i), local)
+        if not local:
+            up[0] = best[0]
+        elif (most := int(best.max())) > top:
+            top, end = most, (i, int(best.argmax()))
+        if i % every == 0:
+            kept.append((best, up, left))
+    if not local:
+        top, end = int(best[m]), (n, m)
+
+    at, rows = -1, []
+
+    def row(i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        nonlocal at, rows
+        if not at <= i < at + len(rows):
+            part = max(0, (i - 1) // every)  # so that the row before is at hand too
+            at, rows = part * every, [kept[part]]
+            del kept[part + 2 :]
+            for k in range(at + 1, min(at + every, n) + 1):
+                now = _row(table[x[k - 1]], rows[-1][0], rows[-1][1], edge(k), local)
+                if not local:
+                    now[1][0] = now[0][0]
+                rows.append(now)
+        return rows[i - at]
+
+    (i, j), out, state = end, [], "m"
+    while i > 0 or j > 0:
+        best, up, left = row(i)
+        over = row(i - 1)[0] if i else None
+        if state == "m":
+            if local and best[j] == 0:
+                break
+            if i and j and best[j] == over[j - 1] + table[x[i - 1], j - 1]:
+                i, j = i - 1, j - 1
+                out.append((a[i], b[j]))
+            else:
+                state = "u" if i and best[j] == up[j] else "l"
+        elif state == "u":
+            state = "m" if up[j] == over[j] - OPEN else "u"
+            i -= 1
+            out.append((a[i], "-"))
+        else:
+            state = "m" if left[j] == best[j - 1] - OPEN else "l"
+            j -= 1
+            out.append(("-", b[j]))
+    out.reverse()
+    return "".join(p for p, _ in out), "".join(q for _, q in out), i + 1, j + 1, top
+
+
 def _path(a: str, b: str, s: np.ndarray, best: np.ndarray, up: np.ndarray, left: np.ndarray, local: bool) -> tuple[str, str, int, int, int]:
     i, j = divmod(int(best.argmax()), len(b) + 1) if local else (len(a), len(b))
     score, x, y, state = int(best[i, j]), [], [], "m"
@@ -172,10 +257,11 @@ def align_all(pairs: list[tuple[str, str]], local: bool = False, most_cells: int
 
     A gap of n costs OPEN + (n - 1) * EXTEND, end gaps included in global mode. Where paths tie: a match before a gap in
     b before a gap in a; a local alignment ends at the first best cell by rows. Pairs of like lengths are worked on together,
-    up to ``most_cells`` cells of a table; a larger pair is worked on alone.
+    up to ``most_cells`` cells of a table; a larger pair is worked on alone and without whole tables.
     """
-    order = sorted(range(len(pairs)), key=lambda k: (len(pairs[k][0]), len(pairs[k][1])))
-    out: list = [None] * len(pairs)
+    large = [(len(a) + 1) * (len(b) + 1) > most_cells for a, b in pairs]
+    out: list = [align_long(*p, local) if over else None for p, over in zip(pairs, large, strict=True)]
+    order = sorted((k for k, over in enumerate(large) if not over), key=lambda k: (len(pairs[k][0]), len(pairs[k][1])))
     at = 0
     while at < len(order):
         end, n, m = at, 0, 0
@@ -221,6 +307,17 @@ def aligned(pairs: DataFrame, a: str, b: str, local: bool = False) -> DataFrame:
     return pairs.join(done, [a, b], "left")
 
 
+def text_score(a: Column, b: Column) -> Column:
+    """The score of two aligned texts of upper-case letters and gaps, as column expressions: letters by the table, gaps by runs."""
+    names = [chr(65 + k) for k in range(26)]
+    table = letter_scores()
+    pairs = F.create_map(*[F.lit(v) for x in names for y in names for v in (x + y, int(table[ord(x), ord(y)]))])
+    letters = F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.coalesce(F.try_element_at(pairs, F.concat(x, y)), F.lit(0))), F.lit(0), lambda s, v: s + v)
+    gaps = F.length(a) + F.length(b) - F.length(F.replace(a, F.lit("-"), F.lit(""))) - F.length(F.replace(b, F.lit("-"), F.lit("")))
+    runs = F.regexp_count(a, F.lit("-+")) + F.regexp_count(b, F.lit("-+"))
+    return (letters - OPEN * runs - EXTEND * (gaps - runs)).cast("int")
+
+
 #: Karlin and Altschul's statistics of BLOSUM62 with gaps of 11 and 1.
 LAMBDA, KAPPA = 0.267, 0.041
 

@@ -553,6 +553,12 @@ def align_local_scores(t):
     return _pairs(t, True).select("p_partkey", "score")
 
 
+@query(_score_sql(False))
+def align_text_scores(t):
+    """The scores of the aligned texts themselves, gap by gap and letter by letter."""
+    return _pairs(t, False).select("p_partkey", sequences.text_score(F.col("aligned_a"), F.col("aligned_b")).alias("score"))
+
+
 @query()
 def similarity_search(t):
     p = t("part").select(F.col("p_partkey").cast("string").alias("id"), X.clean_sequence(F.concat("p_name", "p_type")).alias("seq"))
