@@ -7,6 +7,9 @@ travel in sorted, packed lists, and ids come back in the order of the words aske
 texts, so no pre-token occurrence is shuffled: exploded into rows they would be several times the input. Decoding joins
 the token-byte table (fixed by the vocabulary) to the ids by position.
 
+Each answer carries a digest of the words asked for, and a block refuses one for other words: should a lost executor's part
+of the input be read again in another order, the query fails instead of giving other words' ids.
+
 A shard's words are in memory one shard at a time; the number of shards follows the bytes of text, so that a shard's
 size doesn't grow with the corpus.
 
@@ -53,6 +56,10 @@ def _by_shard(words: set[str], shards: int) -> dict[int, list[str]]:
     return out
 
 
+def _digest(words: list[str]) -> int:
+    return zlib.crc32("\0".join(words).encode())
+
+
 def blocker(most: int):
     """(doc_id, text) -> (block, docs): about ``most`` bytes of text to a block, as compressed Arrow."""
 
@@ -103,7 +110,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
                 for t in _docs(blob)[1]:
                     own.update(split(t))
                 by = _by_shard(own, shards)
-                yield pa.RecordBatch.from_arrays([pa.array([b] * len(by), pa.int64()), pa.array(list(by), pa.int32()), pa.array([_pack([w.encode() for w in p]) for p in by.values()], pa.binary())], ["block", "shard", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array([b] * len(by), pa.int64()), pa.array(list(by), pa.int32()), pa.array(list(map(_digest, by.values())), pa.int64()), pa.array([_pack([w.encode() for w in p]) for p in by.values()], pa.binary())], ["block", "shard", "digest", "words"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Reads the shards one after the other."""
@@ -111,7 +118,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
         now = None
         for batch in batches:
             one, blobs = vocab.encoder(path, pattern)._encode_single_piece, []
-            for shard, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for shard, blob in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if shard != now:
                     known, now = {}, shard
                 words = _unpack(blob)
@@ -119,16 +126,19 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
                     if w not in known:
                         known[w] = np.array(one(w), "<u4").tobytes()
                 blobs.append(_pack([known[w] for w in words]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], ["block", "shard", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(blobs, pa.binary())], ["block", "shard", "digest", "ids"])
 
     def join(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         split, bytes_at = vocab.pieces_of(pattern).findall, vocab.token_bytes(path)
         doc_ids, texts = _docs(left["docs"][0].as_py())
-        back = dict(zip(right["shard"].to_pylist(), right["ids"].to_pylist(), strict=True))
+        back = {s: (d, b) for s, d, b in zip(*(right[c].to_pylist() for c in ("shard", "digest", "ids")), strict=True)}
         pieces = [split(t) for t in texts]
         ids_of: dict[str, bytes] = {}
         for s, words in _by_shard(set().union(*pieces), shards).items():
-            ids_of.update(zip(words, _unpack(back[s]), strict=True))
+            digest, blob = back.get(s, (None, b""))
+            if digest != _digest(words):
+                raise RuntimeError("an answer is for other words than this block's: its rows came in another order when they were read again")
+            ids_of.update(zip(words, _unpack(blob), strict=True))
         cols: list[list] = [[], [], [], [], []]
         for own in pieces:
             raw = b"".join(map(ids_of.__getitem__, own))
@@ -142,7 +152,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, block_mb: float = 8,
             out |= {"ids": pa.array(cols[3], pa.list_(pa.int32())), "decoded": pa.array(cols[4], pa.binary())}
         return pa.table(out)
 
-    asked = dealt.mapInArrow(tidied(ask), "block long, shard int, words binary")
-    answers = asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(tidied(answer), "block long, shard int, ids binary")
+    asked = dealt.mapInArrow(tidied(ask), "block long, shard int, digest long, words binary")
+    answers = asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(tidied(answer), "block long, shard int, digest long, ids binary")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * with_ids
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, schema)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,14 +40,11 @@ class Stored:
         spark = self.df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        if self in _held:
-            _held.remove(self)
+        keep(self)
 
-    def __eq__(self, other) -> bool:
-        return isinstance(other, Stored) and self.path == other.path
 
-
-_held: list[Stored] = []
+#: What was stored since the innermost scratch() of this thread began; None outside of one.
+_held: ContextVar[list[Stored] | None] = ContextVar("held", default=None)
 
 
 def stored(df: DataFrame, label: str) -> Stored:
@@ -54,29 +52,34 @@ def stored(df: DataFrame, label: str) -> Stored:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = Stored(spark.read.schema(df.schema).parquet(path), path)
-    _held.append(out)
+    hold(out)
     return out
 
 
 def keep(table: Stored) -> None:
     """Leaves a table to its caller: scratch() doesn't delete it."""
-    _held.remove(table)
+    held = _held.get()
+    if held is not None:
+        held[:] = [t for t in held if t is not table]
 
 
 def hold(table: Stored) -> None:
-    """Takes a kept table back, for an outer scratch() to delete."""
-    _held.append(table)
+    """Gives a table to the scratch() around, which deletes it."""
+    held = _held.get()
+    if held is not None:
+        held.append(table)
 
 
 @contextmanager
 def scratch() -> Iterator[None]:
-    """Deletes what was stored inside; for callers that have written their result when they leave."""
-    before = list(_held)
+    """Deletes what this thread stored inside; for callers that have written their result when they leave."""
+    before = _held.set([])
     try:
         yield
     finally:
-        for table in [t for t in _held if t not in before]:
+        for table in list(_held.get()):
             table.drop()
+        _held.reset(before)
 
 
 def text_marks(name: str = "text") -> tuple[Column, Column]:

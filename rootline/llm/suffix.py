@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from rootline.llm import repeats
 from rootline.llm.bpe import blocker
-from rootline.llm.common import shared_dir, stored
+from rootline.llm.common import Stored, hold, shared_dir, stored
 from rootline.llm.repeats import Windows
 from rootline.llm.words import tidied
 
@@ -186,8 +186,10 @@ def remove_repeats(docs: DataFrame, size: int = 200, block_mb: float = 4, shard_
     finder = _Finder(size, max(8, int(total / (shard_mb * 1e6))))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidied(blocker(max(1, int(block_mb * 1e6)))), "block long, docs binary")
     name = f"repeats_{uuid.uuid4().hex}"
-    dealt.repartition(buckets, "block").write.bucketBy(buckets, "block").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    path = f"{shared_dir(spark)}/{name}"
+    dealt.repartition(buckets, "block").write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
     blocks = spark.table(name)
+    hold(Stored(blocks, path))
     spark.sql(f"DROP TABLE {name}")  # the files stay in the shared folder; the name was needed to write them in buckets
     last = len(finder.spans) - 1
 

@@ -3,9 +3,11 @@
 Features are rates over a document's words: hits of a lexicon (density, weight, strongest entry), second-person words
 and lexicon hits near them, capitals, punctuation and obfuscation (letters written as digits or signs, stretched
 letters, hits that only show once these are undone). The lexicon is a short list of common insults and, with weights,
-the words and word beginnings that the labelled sample shows to go with the label. It is fitted crosswise: each fold
-of the sample gets features from the lexicon of the other folds, so the trees see honest hit rates; the final lexicon
-is that of all. Isotonic calibration is fitted on scores of trees that didn't see the row.
+the words and word beginnings that the labelled sample shows to go with the label. A second lexicon has the beginnings
+that go with the label where a document has them twice or more: an insult's stem comes back in a text, in whatever language,
+and few labelled rows are enough to show it. Both are fitted crosswise: each fold of the sample gets features from the lexica
+of the other folds, so the trees see honest hit rates; the final lexica are those of all. Isotonic calibration is fitted on
+scores of trees that didn't see the row.
 
 Training reads a bounded sample: at most ``sample`` labelled rows, those with the least hash of the id; scoring reads
 every row. The lexicon comes from the sample, so its broadcast is bounded too.
@@ -40,7 +42,12 @@ _STRETCH = re.compile(r"(.)\1{2,}")
 _EDGE = ".,;:!?\"'()[]{}*#%&$-–—…«»“”„"
 _KEEP = re.compile(r"[\W\d_]+")
 _BEGIN = (3, 4, 5, 6, 7, 8)
-_FOLDS = 4
+#: Weights of words and beginnings (hashes), and of beginnings that come back.
+Lexica = tuple[dict[int, float], dict[int, float]]
+_FOLDS = 10
+FEATURES = 21
+#: So many of a document's heaviest repeated beginnings count.
+_HEAVIEST = 8
 
 
 def _plain(word: str) -> str:
@@ -82,15 +89,46 @@ def _marks(word: str) -> tuple[float, ...]:
     return (letters, caps, word.count("!"), word.count("?"), len(word) - sum(map(str.isalnum, word)), letters > 1 and caps == letters, own in SECOND, odd, own in INSULTS, undone)
 
 
-def _weights(vocabulary: list[str], lexicon: dict[int, float]) -> np.ndarray:
-    """The heaviest lexicon entry of each word."""
-    seen: dict[str, float] = {"": 0.0}
-    out = np.zeros(len(vocabulary))
+def _weights(vocabulary: list[str], lexica: Lexica) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The heaviest lexicon entry of each word; and (word, beginning) for the beginnings in the second lexicon."""
+    lexicon, repeated = lexica
+    seen: dict[str, tuple[float, set[int]]] = {"": (0.0, set())}
+    out, at, unit = np.zeros(len(vocabulary)), [], []
     for i, word in enumerate(vocabulary):
         own = word.strip(_EDGE).lower()
         if own not in seen:
-            seen[own] = max([lexicon[u] for u in _units_of(own) if u in lexicon], default=0.0)
-        out[i] = seen[own]
+            units = _units_of(own)
+            seen[own] = max([lexicon[u] for u in units if u in lexicon], default=0.0), {u for u in units[1:] if u in repeated}
+        out[i], mine = seen[own]
+        if mine:
+            at += [i] * len(mine)
+            unit += mine
+    return out, np.array(at, np.int64), np.array(unit, np.int64)
+
+
+def _comeback(words: Words, at: np.ndarray, unit: np.ndarray, weights: dict[int, float]) -> np.ndarray:
+    """Of the beginnings that come back in a document: the greatest weight, the sum of the heaviest, their density and that
+    of their words' weights, and the greatest weight by how often (logarithm and rate)."""
+    out, n = np.zeros((6, words.docs)), np.maximum(words.count, 1)
+    if not len(at):
+        return out
+    names, place = np.unique(unit, return_inverse=True)
+    first, size = np.searchsorted(at, np.arange(len(words.vocabulary))), np.bincount(at, minlength=len(words.vocabulary))
+    token = np.flatnonzero(size[words.code])
+    k = size[words.code[token]]
+    flat = np.arange(k.sum()) + np.repeat(first[words.code[token]] - (np.cumsum(k) - k), k)
+    key, times = np.unique(np.repeat(words.doc[token], k) * len(names) + place[flat], return_counts=True)
+    key, times = key[times >= 2], times[times >= 2]
+    doc, weight = key // len(names), np.array([weights[u] for u in names.tolist()])[key % len(names)]
+    order = np.lexsort((-weight, doc))
+    doc, weight, times = doc[order], weight[order], times[order]
+    top = np.arange(len(doc)) - np.searchsorted(doc, doc) < _HEAVIEST
+    np.maximum.at(out[0], doc, weight)
+    out[1] = np.bincount(doc[top], weight[top], words.docs)
+    out[2] = np.bincount(doc, minlength=words.docs) / n
+    out[3] = np.bincount(doc, weight * times, words.docs) / n
+    np.maximum.at(out[4], doc, weight * np.log1p(times))
+    np.maximum.at(out[5], doc, weight * times / n[doc])
     return out
 
 
@@ -109,14 +147,43 @@ def fit_lexicon(docs: list[tuple[np.ndarray, int]], share: float = 0.5, prior: f
     return out
 
 
+def fit_repeated(docs: list[tuple[np.ndarray, int]], ratio: float = 2.5, prior: float = 2.0, least: int = 2) -> dict[int, float]:
+    """Weights of the beginnings that, where they come back in a document, go with the label: the log odds over the base rate,
+    drawn to it by ``prior`` documents, of those with ``ratio`` times the base rate in ``least`` documents of the label."""
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    for units, y in docs:
+        seen[y].update(units.tolist())
+    base = (sum(y for _, y in docs) + 1) / (len(docs) + 2)
+    out = {}
+    for unit, n in seen[1].items():
+        p = (n + prior * base) / (n + seen[0][unit] + prior)
+        if n >= least and p >= ratio * base:
+            out[unit] = float(np.log(p / (1 - p)) - np.log(base / (1 - base))) if p < 1 else 9.0
+    return out
+
+
+def _repeated(words: Words, own: list[list[int]]) -> Iterator[np.ndarray]:
+    """For each document the beginnings that two or more of its words have; ``own``: of each word of the vocabulary."""
+    units = [np.unique(np.array(u[1:], np.uint32)) for u in own]
+    cut = np.concatenate([[0], np.cumsum(words.count)])
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        code, n = np.unique(words.code[a:b], return_counts=True)
+        if not len(code):
+            yield np.zeros(0, np.uint32)
+            continue
+        mine = [units[c] for c in code.tolist()]
+        unit, back = np.unique(np.concatenate(mine), return_inverse=True)
+        yield unit[np.bincount(back, np.repeat(n, [len(m) for m in mine]), len(unit)) >= 2]
+
+
 def _fold(doc_id) -> int:
     return zlib.crc32(f"fold{doc_id}".encode()) % _FOLDS
 
 
-def features(texts: pa.Array, lexicon: dict[int, float]) -> np.ndarray:
+def features(texts: pa.Array, lexica: Lexica) -> np.ndarray:
     words = Words(texts)
     marks = np.array([_marks(w) for w in words.vocabulary], np.float64).reshape(-1, 10)
-    weight = _weights(words.vocabulary, lexicon)
+    weight, at, unit = _weights(words.vocabulary, lexica)
     n = np.maximum(words.count, 1)
     total = np.stack([words.per_doc(np.ascontiguousarray(marks[:, k])[words.code]) for k in range(10)])
     each = weight[words.code]
@@ -132,15 +199,16 @@ def features(texts: pa.Array, lexicon: dict[int, float]) -> np.ndarray:
     return np.stack([
         found / n, np.log1p(found), words.per_doc(each) / n, strongest, total[8] / n, total[6] / n, close / n, total[1] / letters, total[5] / n,
         total[2] / n, total[3] / n, total[4] / n, total[7] / n, total[9] / n, np.log1p(words.count),
+        *_comeback(words, at, unit, lexica[1]),
     ], axis=1)
 
 
 class Model:
-    def __init__(self, lexicon: dict[int, float], trees: Trees, knots: tuple[np.ndarray, np.ndarray]):
-        self.lexicon, self.trees, self.knots = lexicon, trees, knots
+    def __init__(self, lexica: Lexica, trees: Trees, knots: tuple[np.ndarray, np.ndarray]):
+        self.lexica, self.trees, self.knots = lexica, trees, knots
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        return calibrated(self.trees.raw(features(texts, self.lexicon)), self.knots)
+        return calibrated(self.trees.raw(features(texts, self.lexica)), self.knots)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, rest: int = 2, sample: int = 6_000, seed: int = 5) -> Model:
@@ -150,34 +218,40 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches):
             words = Words(batch.column(1))
-            own = [np.array(_units(w), np.uint32) for w in words.vocabulary]
+            mine = [_units(w) for w in words.vocabulary]
+            own = [np.array(u, np.uint32) for u in mine]
             cut = np.concatenate([[0], np.cumsum(words.count)])
             packed = []
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 parts_ = [own[c] for c in np.unique(words.code[a:b]).tolist()]
                 packed.append(np.unique(np.concatenate(parts_)).astype("<u4").tobytes() if parts_ else b"")
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary())], ["doc_id", "label", "units"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary()), pa.array([u.astype("<u4").tobytes() for u in _repeated(words, mine)], pa.binary())], ["doc_id", "label", "units", "repeated"])
+
+    rows = chosen.mapInArrow(tidied(units), f"doc_id {kind}, label int, units binary, repeated binary").toArrow().sort_by("doc_id")
+    learned = [(np.frombuffer(u, "<u4"), np.frombuffer(r, "<u4"), y, _fold(d)) for d, y, u, r in zip(*(rows[c].to_pylist() for c in ("doc_id", "label", "units", "repeated")), strict=True)]
+
+    def lexica(without: int | None) -> Lexica:
+        own = [x for x in learned if x[3] != without]
+        return fit_lexicon([(u, y) for u, _, y, _ in own]), fit_repeated([(r, y) for _, r, y, _ in own])
 
-    rows = chosen.mapInArrow(tidied(units), f"doc_id {kind}, label int, units binary").toArrow().sort_by("doc_id")
-    learned = [(np.frombuffer(u, "<u4"), y, _fold(d)) for d, y, u in zip(*(rows[c].to_pylist() for c in ("doc_id", "label", "units")), strict=True)]
-    without = [fit_lexicon([(u, y) for u, y, f in learned if f != k]) for k in range(_FOLDS)]
-    spread = docs.sparkSession.sparkContext.broadcast(without)
+    spread = docs.sparkSession.sparkContext.broadcast([lexica(k) for k in range(_FOLDS)])
 
     def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches):
-            each = np.stack([features(batch.column(1), lexicon) for lexicon in spread.value])
-            x = each[[_fold(d) for d in batch.column(0).to_pylist()], np.arange(batch.num_rows)]
+            fold, x = np.array([_fold(d) for d in batch.column(0).to_pylist()]), np.zeros((batch.num_rows, FEATURES))
+            for k in np.unique(fold).tolist():
+                x[fold == k] = features(batch.column(1).take(pa.array(np.flatnonzero(fold == k))), spread.value[k])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
     rows = chosen.mapInArrow(tidied(dense), f"doc_id {kind}, label int, x array<double>").toArrow().sort_by("doc_id")
     y = np.array(rows["label"].to_pylist(), np.float64)
-    x = np.array(rows["x"].to_pylist(), np.float64).reshape(len(y), 15)
+    x = np.array(rows["x"].to_pylist(), np.float64).reshape(len(y), FEATURES)
     fold = np.random.default_rng(seed).permutation(len(y)) % 3
     unseen = np.zeros(len(y))
     for k in range(3):
         unseen[fold == k] = fit_trees(x[fold != k], y[fold != k]).raw(x[fold == k])
     knots = fit_isotonic(unseen, y)
-    return Model(fit_lexicon([(u, y) for u, y, _ in learned]), fit_trees(x, y), knots)
+    return Model(lexica(None), fit_trees(x, y), knots)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

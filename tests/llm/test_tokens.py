@@ -145,3 +145,37 @@ def test_bpe_real_outputs_and_empty_table(spark):
 
 def test_both_files_of_a_vocabulary_agree():
     assert vocab.ranks(P.path("byte_bpe_50k.json")) == vocab.ranks(P.path("byte_bpe_50k.tiktoken"))
+
+
+def test_answers_for_other_words_are_refused():
+    from rootline.llm import bpe
+
+    assert bpe._digest(["ab", "c"]) != bpe._digest(["a", "bc"]) != bpe._digest([])
+
+
+def test_threads_do_not_delete_each_others_tables(spark):
+    import threading
+
+    from rootline.llm.common import scratch, stored
+
+    began, made, out = threading.Event(), threading.Event(), []
+
+    def other():
+        began.wait(60)
+        out.append(stored(spark.range(7), "other"))
+        made.set()
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    with scratch():
+        mine = stored(spark.range(3), "mine")
+        with scratch():
+            inner = stored(spark.range(2), "inner")
+        began.set()
+        assert made.wait(60) and mine.df.count() == 3
+    thread.join()
+    assert out[0].df.count() == 7
+    for gone in (mine, inner):
+        p = spark._jvm.org.apache.hadoop.fs.Path(gone.path)
+        assert not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    out[0].drop()
