@@ -930,3 +930,11 @@ def typeahead_values(t):
 def tree_parents_known(t):
     bad = validate.check_tree(t("core_table"), "core", "curie", "parent")
     return bad.select(F.col("row").alias("curie"), F.col("value").alias("parent"), F.split_part("rule", F.lit(":"), F.lit(1)).alias("problem"))
+
+
+#: The queries over the driver's tables; the others work on small fixed ones, and are run and compared as tests alone.
+ON_TABLES = (
+    "csv_to_tsv_scan", "cut_search_rewrite", "filtered_rows", "gz_tsv_scan", "headerless_csv_scan", "html_digests", "json_dump", "numbered_rows", "organism_counts", "path_keyed_scan",
+    "release_rotation", "resume_from_key", "sql_pushdown", "sql_to_tsv_scan", "string_tsv_scan", "substring_pairs", "tsv_round_trip", "typeahead_values", "union_with_patch", "weeks_and_sundays",
+)
+REGISTERED = {name: QUERIES[name] for name in ON_TABLES}

@@ -36,4 +36,5 @@ def test_query(spark, name):
 def test_entry_names_are_the_same_without_the_optional_part():
     import __spark_entry__ as e
 
-    assert set(QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+    assert set(catalogue.QUERIES) | set(domain.REGISTERED) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+    assert not (set(domain.QUERIES) - set(domain.REGISTERED)) & set(e.queries())
