@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,23 +86,49 @@ def peptide_join(queries: DataFrame, query: str, proteins: DataFrame, protein: s
     return checked.where(F.expr("substring(_s, start, length(query))") == F.col("query")).select("query", "protein", "start", (F.col("start") + F.length("query") - 1).alias("end"))
 
 
-def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: DataFrame, protein: str, seq: str, most_sets: int = 100_000) -> DataFrame:
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(epitope, bucket, bitmap) -> (epitope, number) for each bit that is set; a bucket has 32,768 numbers."""
+    for batch in batches:
+        epitopes, numbers = [], []
+        for k, (bucket, bitmap) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            own = np.flatnonzero(np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")) + (bucket - 1) * 32768 + 1
+            numbers.append(own)
+            epitopes.append(np.full(len(own), k))
+        at = np.concatenate([np.zeros(0, np.int64), *epitopes])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate([np.zeros(0, np.int64), *numbers]))], ["epitope", "number"])
+
+
+def residue_index(numbered: DataFrame, seq: str, positions: Column) -> DataFrame:
+    """(pos, aa, bucket, bitmap, n): which of the numbered sequences have a letter at a position, for an array of positions;
+    a bitmap for each bucket of 32,768 numbers, and how many there are in all."""
+    at = F.explode(F.filter("_at", lambda p: (p >= 1) & (p <= F.length(seq))))
+    have = numbered.select("number", seq, positions.alias("_at")).select("number", seq, at.alias("pos")).select("number", "pos", F.substring(F.col(seq), F.col("pos"), F.lit(1)).alias("aa"))
+    maps = have.groupBy("pos", "aa", F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap"))
+    counts = maps.groupBy("pos", "aa").agg(F.sum(F.bitmap_count("bitmap")).alias("n"))
+    return maps.join(counts, ["pos", "aa"])
+
+
+def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: DataFrame, protein: str, seq: str, rarest: int = 3) -> DataFrame:
     """(epitope, protein) pairs where every residue of the epitope (array of (aa, pos)) stands at its position.
 
-    The join is by the positions and letters of up to three of the epitope's residues together. Epitopes ask for few
-    different sets of three positions; each is one row of the table of what is looked up in the proteins, which is
-    broadcast only up to ``most_sets`` rows (a shape beyond that asks by the first residue alone).
+    Bitmaps say which proteins have a letter at a position. Those of each epitope's ``rarest`` residues are intersected, and
+    what is left is looked up; a residue that no protein has ends it. No pair of epitope and protein is a row before that.
     """
     listed = epitopes.where(F.size(tokens) > 0).select(F.col(epitope).alias("epitope"), F.col(tokens).alias("tokens"))
-    listed = listed.withColumn("at", F.transform(F.slice("tokens", 1, 3), lambda t: t["pos"])).withColumn("aa", F.array_join(F.transform(F.slice("tokens", 1, 3), lambda t: F.upper(t["aa"])), ""))
-    listed = shared_table(listed.where(F.array_min("at") >= 1), "residues")
-    if listed.select("at").distinct().count() > most_sets:
-        listed = listed.withColumns({"at": F.slice("at", 1, 1), "aa": F.substring("aa", 1, 1)})
-    sets = listed.select("at").distinct()
-    sets = F.broadcast(sets) if sets.count() <= most_sets else sets
-    have = proteins.select(F.col(protein).alias("protein"), F.col(seq).alias("_s")).join(sets, F.length("_s") >= F.array_max("at"))
-    have = have.withColumn("aa", F.array_join(F.transform("at", lambda p: F.substring(F.col("_s"), p, F.lit(1))), ""))
-    return listed.join(have, ["at", "aa"]).where(F.forall("tokens", lambda t: (t["pos"] >= 1) & (F.substring(F.col("_s"), t["pos"], F.lit(1)) == F.upper(t["aa"])))).select("epitope", "protein")
+    listed = shared_table(listed.where(F.forall("tokens", lambda t: t["pos"] >= 1)), "residues")
+    numbered = shared_table(proteins.where(F.col(seq).isNotNull()).select(F.col(protein).alias("protein"), F.col(seq).alias("_s")).withColumn("number", F.monotonically_increasing_id() + 1), "numbered")  # bitmaps count from 1
+    asked = listed.select("epitope", F.explode(F.transform("tokens", lambda t: F.struct(t["pos"].cast("int").alias("pos"), F.upper(t["aa"]).alias("aa")))).alias("t")).select("epitope", "t.*").distinct()
+    positions = asked.agg(F.collect_set("pos")).scalar()  # at most as many as the longest sequence has
+    index = shared_table(residue_index(numbered, "_s", positions), "residue-bitmaps")
+    counts = index.groupBy("pos", "aa").agg(F.first("n").alias("n"))
+    order = Window.partitionBy("epitope").orderBy("n", "pos", "aa")
+    rare = asked.join(counts, ["pos", "aa"], "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= rarest)
+    need = rare.groupBy("epitope").agg(F.count(F.lit(1)).alias("need"))
+    both = rare.select("epitope", "pos", "aa").join(index, ["pos", "aa"]).groupBy("epitope", "bucket").agg(F.bitmap_and_agg("bitmap").alias("bitmap"), F.count(F.lit(1)).alias("have"))
+    left = both.join(need, "epitope").where("have = need").where(F.bitmap_count("bitmap") > 0).select("epitope", "bucket", "bitmap")
+    kind = left.schema["epitope"].dataType.simpleString()
+    found = left.mapInArrow(_bits, f"epitope {kind}, number long").join(listed, "epitope").join(numbered, "number")
+    return found.where(F.forall("tokens", lambda t: F.substring(F.col("_s"), t["pos"], F.lit(1)) == F.upper(t["aa"]))).select("epitope", "protein")
 
 
 @lru_cache(1)
