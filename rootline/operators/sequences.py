@@ -1,6 +1,6 @@
 """Sequence joins and alignments.
 
-Exact k-mer search anchors each query at its rarest k-mer, so a query meets the sequences once; similarity search
+Exact search anchors each query at its rarest minimizer, so a query meets the sequences once; similarity search
 aligns all distinct pairs of sequences that share k-mers and keeps the best scores. Alignments run once for each
 distinct pair in Arrow batches.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rootline.operators import seeds
+from rootline.operators import minimizers, seeds
 from rootline.operators.shared import shared_table
 
 #: BLOSUM62 (Henikoff and Henikoff 1992), rows and columns in this order.
@@ -51,39 +51,22 @@ BLOSUM62 = """
 OPEN, EXTEND = seeds.OPEN, seeds.EXTEND
 
 
-def kmers(seq: Column, k: int) -> Column:
-    """Array of the k-mers at every position, in order; empty when the sequence is shorter than k.
+def peptide_join(queries: DataFrame, query: str, proteins: DataFrame, protein: str, seq: str, k: int = 5, window: int = 16, index: DataFrame | None = None, most_broadcast: int = minimizers.MOST_BROADCAST) -> DataFrame:
+    """(query, protein, start, end) for every occurrence, overlapping ones too; positions from 1, inclusive. Queries of less
+    than k letters are left out.
 
-    A regular expression reads each in constant time; substring() would walk from the start of the UTF-8 text each time.
+    Queries that are long enough meet the sequences at minimizers of ``window`` k-mers, for which a stored ``index`` (of the
+    same k and window) spares reading the sequences; shorter ones at every k-mer.
     """
-    return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))
-
-
-def kmer_index(proteins: DataFrame, protein: str, seq: str, k: int) -> DataFrame:
-    """(protein, pos, kmer) for every position; to be written once and given to several searches."""
-    return proteins.select(F.col(protein).alias("protein"), F.posexplode(kmers(F.col(seq), k)).alias("at", "kmer")).select("protein", (F.col("at") + 1).alias("pos"), "kmer")
-
-
-def write_kmer_index(index: DataFrame, path: str, parts: int = 64) -> None:
-    """Stores an index sorted by k-mer within hash parts, so that a search for few k-mers skips most row groups."""
-    index.repartition(parts, "kmer").sortWithinPartitions("kmer").write.mode("overwrite").parquet(path)
-
-
-def peptide_join(queries: DataFrame, query: str, proteins: DataFrame, protein: str, seq: str, k: int = 5, most_broadcast: int = 200_000, index: DataFrame | None = None) -> DataFrame:
-    """(query, protein, start, end) for every occurrence, overlapping ones too; positions from 1, inclusive. A stored
-    ``index`` of the same k spares reading the sequences' k-mers again."""
-    index = kmer_index(proteins, protein, seq, k) if index is None else index
     own = queries.select(F.col(query).alias("query")).where(F.length(query) >= k).distinct()
-    parts = own.select("query", F.posexplode(kmers(F.col("query"), k)).alias("at", "kmer")).select("query", (F.col("at") + 1).alias("offset"), "kmer")
-    asked = parts.select("kmer").distinct()
-    # few asked k-mers are broadcast, so that of the index only what they meet is ever shuffled; many are joined by shuffle
-    index = shared_table(index.join(F.broadcast(asked) if asked.count() <= most_broadcast else asked, "kmer", "left_semi"), "kmers")
-    counts = index.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
-    # a k-mer that no sequence has ends the search for its query: its count is 0, and so is its join
-    anchor = parts.join(counts, "kmer", "left").groupBy("query").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "kmer")).alias("a")).select("query", "a.offset", "a.kmer")
-    hits = index.join(anchor, "kmer").where("pos >= offset").select("query", "protein", (F.col("pos") - F.col("offset") + 1).alias("start"))
-    checked = hits.join(proteins.select(F.col(protein).alias("protein"), F.col(seq).alias("_s")), "protein")
-    return checked.where(F.expr("substring(_s, start, length(query))") == F.col("query")).select("query", "protein", "start", (F.col("start") + F.length("query") - 1).alias("end"))
+    long = F.length("query") >= k + window - 1
+    here = proteins.select(F.col(protein).alias("protein"), F.col(seq).alias("seq"))
+    sides = [(window, own.where(long), index), (1, own.where(~long), None)]
+    found = [minimizers.occurrences(asked, here, k, w, stored, most_broadcast) for w, asked, stored in sides if not asked.isEmpty()]
+    if not found:
+        kind = here.schema["protein"].dataType.simpleString()
+        return queries.sparkSession.createDataFrame([], f"query string, protein {kind}, start long, end long")
+    return reduce(DataFrame.unionByName, found).withColumn("end", F.col("start") + F.length("query") - 1)
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
