@@ -19,6 +19,7 @@ from rootline.operators.shared import shared_table
 #: Seeds that are sent to every task: 16 bytes each.
 MOST_BROADCAST = 2_000_000
 PIECE = 1 << 17  # code points worked on together
+PLACES = 1 << 20
 PRIME = 0x100000001B3
 SLICE = 1 << 22  # code points sent to the comparison together
 
@@ -40,18 +41,22 @@ def _seeds(codes: np.ndarray, ends: np.ndarray, k: int, window: int) -> tuple[np
         if bit == "1":
             h, have = h[:-1] * np.uint64(PRIME) + codes[have:], have + 1
     h = _mixed(h)
-    best, span = np.arange(n), 1
-    while span < window:  # the least of ``span`` from each position on, doubled; of equal ones the first
+    # the place is in the low bits, always as many: of hashes with equal high bits the first counts, in texts as in queries
+    low = np.uint64(PLACES - 1)
+    best, span = (h & ~low) | np.arange(n, dtype=np.uint64), 1
+    while span < window:  # the least of ``span`` from each position on, doubled
         step = min(span, window - span)
-        left, right = best[:-step], best[step:]
-        best, span = np.where(h[right] < h[left], right, left), span + step
-    at = np.unique(best[np.arange(len(best)) + k + window - 1 <= ends[: len(best)]])
+        best, span = np.minimum(best[:-step], best[step:]), span + step
+    best = best[np.arange(len(best)) + k + window - 1 <= ends[: len(best)]]
+    at = (best[np.diff(best, prepend=~best[:1]) != 0] & low).astype(np.int64)  # windows move on, and so do their seeds
     return at, h[at].view(np.int64)
 
 
 def _pieces(texts: list[str | None], k: int, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, position, hash) of all seeds: short texts together, long ones in pieces that overlap by a window."""
     over = k + window - 2
+    if 2 * PIECE + over >= PLACES:
+        raise ValueError("windows of this size don't fit the places of a piece")
     held: list[tuple[int, int, np.ndarray]] = []  # row, where the piece begins, its code points
     last = [(-1, -1)]
 
