@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rootline.functions import expressions as X
-from rootline.operators import graph, joins, metrics, minimizers, ontology, rank, sequences, statements, tree, validate
+from rootline.operators import graph, joins, metrics, minimizers, ontology, prefixes, rank, sequences, statements, tree, validate
 from rootline.operators.shared import shared_folder
+from rootline.sources import paged, snapshots
 from rootline.sources.readers import fasta_header
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -450,6 +451,104 @@ def compare_trees(t):
     return statements.compare(a, b)
 
 
+#: (subject, predicate, object, for which parts): each part is equivalent to an intersection of its type, a restriction of its
+#: size and, for even sizes, a nested intersection of its brand and x:stock. The expressions are the same in both dialects.
+_AXIOMS = [
+    ("concat('x:p', p_partkey)", "owl:equivalentClass", "concat('_:e', p_partkey)", "p_size % 3 <> 0"),
+    ("concat('_:e', p_partkey)", "owl:equivalentClass", "concat('x:p', p_partkey)", "p_size % 3 = 0"),
+    ("concat('_:e', p_partkey)", "owl:intersectionOf", "concat('_:l0.', p_partkey)", "true"),
+    ("concat('_:l0.', p_partkey)", "rdf:first", "concat('x:type-', lower(p_type))", "true"),
+    ("concat('_:l0.', p_partkey)", "rdf:rest", "concat('_:l1.', p_partkey)", "true"),
+    ("concat('_:l1.', p_partkey)", "rdf:first", "concat('_:size', p_size)", "true"),
+    ("concat('_:l1.', p_partkey)", "rdf:rest", "'rdf:nil'", "p_size % 2 = 1"),
+    ("concat('_:l1.', p_partkey)", "rdf:rest", "concat('_:l2.', p_partkey)", "p_size % 2 = 0"),
+    ("concat('_:l2.', p_partkey)", "rdf:first", "concat('_:n', p_brand)", "p_size % 2 = 0"),
+    ("concat('_:l2.', p_partkey)", "rdf:rest", "'rdf:nil'", "p_size % 2 = 0"),
+    ("concat('_:n', p_brand)", "owl:intersectionOf", "concat('_:k0.', p_brand)", "true"),
+    ("concat('_:k0.', p_brand)", "rdf:first", "concat('x:', p_brand)", "true"),
+    ("concat('_:k0.', p_brand)", "rdf:rest", "concat('_:k1.', p_brand)", "true"),
+    ("concat('_:k1.', p_brand)", "rdf:first", "'x:stock'", "true"),
+    ("concat('_:k1.', p_brand)", "rdf:rest", "'rdf:nil'", "true"),
+    ("concat('x:p', p_partkey)", "rdfs:subClassOf", "'x:part'", "p_size % 5 = 0"),
+    ("concat('x:p', p_partkey)", "owl:equivalentClass", "concat('x:same-', p_partkey)", "p_size % 7 = 0"),
+]
+
+
+def _axioms(t):
+    rows = F.array(*[F.struct(F.expr(a).alias("subject"), F.lit(p).alias("predicate"), F.expr(b).alias("object"), F.expr(c).alias("there")) for a, p, b, c in _AXIOMS])
+    kept = t("part").select(F.explode(F.filter(rows, lambda x: x["there"])).alias("x")).select("x.subject", "x.predicate", "x.object").distinct()
+    return kept.withColumns({"assertion": F.lit(1), "retraction": F.lit(0), "graph": F.lit("parts"), "datatype": F.lit(statements.IRI), "annotation": F.lit(None).cast("string")})
+
+
+@query(f"""
+WITH RECURSIVE g AS ({" UNION ".join(f"SELECT {a} AS subject, '{p}' AS predicate, {b} AS object FROM part WHERE {c}" for a, p, b, c in _AXIOMS)}),
+m(node, cell) AS (SELECT subject, object FROM g WHERE predicate = 'owl:intersectionOf' UNION ALL SELECT m.node, g.object FROM m JOIN g ON g.subject = m.cell AND g.predicate = 'rdf:rest' WHERE g.object <> 'rdf:nil'),
+members AS (SELECT DISTINCT node, g.object AS member FROM m JOIN g ON g.subject = m.cell AND g.predicate = 'rdf:first'),
+q AS (SELECT subject, object FROM g WHERE predicate = 'owl:equivalentClass' UNION SELECT object, subject FROM g WHERE predicate = 'owl:equivalentClass'),
+x(subject, node) AS (SELECT subject, object FROM q WHERE NOT starts_with(subject, '_:') AND starts_with(object, '_:') UNION ALL SELECT x.subject, member FROM x JOIN members USING (node))
+SELECT subject, node AS object FROM x WHERE node NOT IN (SELECT node FROM members) UNION SELECT subject, object FROM g WHERE predicate = 'rdfs:subClassOf'""")
+def relaxed_axioms(t):
+    """Equivalences with (nested) intersections as subclass axioms."""
+    return ontology.relax(_axioms(t)).where("predicate = 'rdfs:subClassOf'").select("subject", "object")
+
+
+@query(f"""
+WITH RECURSIVE g AS ({" UNION ".join(f"SELECT {a} AS subject, '{p}' AS predicate, {b} AS object FROM part WHERE {c}" for a, p, b, c in _AXIOMS)}),
+m(head, cell, place) AS (SELECT subject, subject, 0 FROM g WHERE predicate = 'rdf:first' AND subject NOT IN (SELECT object FROM g WHERE predicate = 'rdf:rest')
+ UNION ALL SELECT m.head, g.object, place + 1 FROM m JOIN g ON g.subject = m.cell AND g.predicate = 'rdf:rest' WHERE g.object <> 'rdf:nil')
+SELECT head, CAST(place AS BIGINT) AS place, g.object AS member FROM m JOIN g ON g.subject = m.cell AND g.predicate = 'rdf:first'""")
+def collection_members(t):
+    return ontology.list_members(_axioms(t)).select("head", F.col("place").cast("long").alias("place"), "member")
+
+
+# -- releases, pages, typeahead ---------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'O' THEN 'waiting' ELSE 'done' END AS half FROM orders")
+def published_release(t):
+    """The newest of two releases of two tables, read back whole through its manifest, counts and digests compared."""
+    o = t("orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    at = f"{shared_folder(o.sparkSession)}/published-{uuid.uuid4().hex}"
+    waiting = F.col("o_orderstatus") == "O"
+    snapshots.publish({"waiting": o.where(waiting)}, at, "2026_01")
+    snapshots.publish({"waiting": o.where(waiting), "done": o.where(~waiting)}, at, "2026_02")
+    got = snapshots.read_release(o.sparkSession, at, verify=True)
+    parts = [df.select("o_orderkey", "o_totalprice", F.lit(name).alias("half")) for name, df in got.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query("SELECT CAST(page_id // 20 AS BIGINT) AS page, page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages WHERE page_id // 20 >= 2")
+def landed_pages(t):
+    """Pages of 20 records each, landed as JSON and read from the third one on as a data source, in parallel ranges."""
+    p = t("pages").select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+    spark = p.sparkSession
+    at = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    rows = p.select(F.to_json(F.struct("page_id", "url", "n_chars")).alias("record"), F.floor(F.col("page_id") / 20).alias("page"))
+    rows.repartition("page").write.partitionBy("page").text(at)
+    paged.register(spark)
+    last = rows.agg(F.max("page")).first()[0]
+    read = spark.read.format("pages").options(url=at + "/page={page}", resume=2, last=last, per_task=4).load()
+    return read.select("page", F.from_json("record", "page_id long, url string, n_chars long").alias("r")).select("page", "r.*")
+
+
+_TYPED = "SELECT DISTINCT lower(substr(p_name, 1, CAST(1 + p_partkey % 5 AS INTEGER))) AS typed FROM part UNION SELECT DISTINCT lower(substr(c_name, 1, CAST(9 + c_custkey % 4 AS INTEGER))) FROM customer"
+
+
+@query(f"""
+WITH v AS (SELECT DISTINCT p_name AS value FROM part UNION SELECT DISTINCT c_name FROM customer), q AS ({_TYPED})
+SELECT typed, value, place FROM (SELECT typed, value, row_number() OVER (PARTITION BY typed ORDER BY length(value), value) AS place FROM q JOIN v ON starts_with(lower(value), typed)) WHERE place <= 40""")
+def typeahead_index(t):
+    """The best 40 names for each beginning: an index of the names of parts, into which customers' names are merged."""
+    part, customer = t("part"), t("customer")
+    spark = part.sparkSession
+    at = f"{shared_folder(spark)}/typeahead-{uuid.uuid4().hex}"
+    prefixes.write_index(part, "p_name", f"{at}/1")
+    prefixes.merge_index(spark, f"{at}/1", customer, "c_name", f"{at}/2")
+    cut = lambda df, c, k, least, n: df.select(F.lower(F.expr(f"substring({c}, 1, cast({least} + {k} % {n} as int))")).alias("typed")).distinct()
+    typed = cut(part, "p_name", "p_partkey", 1, 5).union(cut(customer, "c_name", "c_custkey", 9, 4)).distinct()
+    return prefixes.lookup_all(spark.read.parquet(f"{at}/2"), typed, "typed").select("typed", "value", F.col("place").cast("long").alias("place"))
+
+
 # -- sequences --------------------------------------------------------------------------------------------------------
 
 
