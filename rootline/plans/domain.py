@@ -22,6 +22,7 @@ from rootline.streaming import incremental
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 FIXTURES: dict[str, tuple[str, list[tuple]]] = {}
+RULES: dict[str, tuple[str, tuple[str, ...], Callable]] = {}  # oracle, names of the tables that it reads, query
 _SQL = {"long": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
@@ -59,14 +60,18 @@ class Tables:
         return path
 
 
+def with_tables(body: str, tables: list[str]) -> str:
+    """A query with table expressions before its own."""
+    rest = re.sub(r"^WITH (RECURSIVE )?", "", body)
+    return f"WITH RECURSIVE {', '.join(tables)}{',' if rest != body else ''} {rest}" if tables else body
+
+
 def query(oracle: str | None = None, *fixtures: str):
     def register(f):
         QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
         if oracle:
-            head, body = ", ".join(map(_values, fixtures)), oracle.strip()
-            rest = re.sub(r"^WITH (RECURSIVE )?", "", body)
-            joined = "" if not head else f"WITH RECURSIVE {head}{',' if rest != body else ''} {rest}"
-            ORACLES[f.__name__] = joined or body
+            RULES[f.__name__] = oracle.strip(), fixtures, f
+            ORACLES[f.__name__] = with_tables(oracle.strip(), [_values(n) for n in fixtures])
         return f
 
     return register

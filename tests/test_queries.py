@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from rootline.plans import catalogue, domain
+from rootline.plans import catalogue, domain, given
 from tests.conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -13,7 +13,7 @@ def plain(v):
     return f"{v:.9g}" if isinstance(v, float) else repr(v)
 
 
-QUERIES, ORACLES = catalogue.QUERIES | domain.QUERIES, catalogue.ORACLES | domain.ORACLES
+QUERIES, ORACLES = catalogue.QUERIES | domain.QUERIES | given.QUERIES, catalogue.ORACLES | domain.ORACLES | given.ORACLES
 
 
 @pytest.mark.parametrize("name", QUERIES)
