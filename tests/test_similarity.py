@@ -5,8 +5,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rootline.operators import seeds, sequences
+from rootline.plans import catalogue
+from tests.conftest import SF
 
 PROTEIN = "ACDEFGHIKLMNPQRSTVWY"
 
@@ -61,6 +64,29 @@ def test_most_hits_are_found_and_few_pairs_aligned(spark):
     assert sure <= {(r.Query, r.Subject) for r in shared} <= hits
 
 
+def test_kmers_at_every_position(spark):
+    rows = [("ABCD",), ("AAAA",), ("AB",), ("",), ("A\nBé",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "s string").select(sequences.kmers(F.col("s"), 3)).collect()]
+    assert got == [["ABC", "BCD"], ["AAA", "AAA"], [], [], ["A\nB", "\nBé"], None]
+
+
+def test_the_registered_search_has_the_best_of_all_pairs(spark):
+    """Every pair that shares two 3-mers, aligned here; the five best of each query by score, shared 3-mers and subject."""
+    part, supplier = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("part", "supplier"))
+    own = {str(r[0]): "".join(c for c in (r[1] + r[2]).upper() if "A" <= c <= "Z") for r in part.select("p_partkey", "p_name", "p_type").collect()}
+    asked = [str(r[0]) for r in supplier.select("s_suppkey").collect() if str(r[0]) in own]
+    words = {s: {s[i : i + 3] for i in range(len(s) - 2)} for s in own.values()}
+    pairs = [(a, b) for a in {own[q] for q in asked} for b in words if len(words[a] & words[b]) >= 2]
+    scores = {p: x[4] for p, x in zip(pairs, sequences.align_all(pairs, True), strict=True)}
+    want = set()
+    for q in asked:
+        met = [(-scores[own[q], s], -len(words[own[q]] & words[s]), i) for i, s in own.items() if (own[q], s) in scores]
+        want |= {(q, i, -score) for score, _, i in sorted(met)[:5]}
+    bits = lambda b: round((b * math.log(2) + math.log(sequences.KAPPA)) / sequences.LAMBDA)
+    got = [(r.Query, r.Subject, bits(r["Bit Score"])) for r in catalogue.similarity_search(lambda t: {"part": part, "supplier": supplier}[t]).collect()]
+    assert len(got) == len(want) > 20 and set(got) == want
+
+
 @pytest.mark.parametrize(("query_letters", "subject_letters"), [(1, 1), (500, 3000), (10**6, 10**6)])
 def test_pairs_do_not_depend_on_blocks(spark, query_letters, subject_letters):
     queries, subjects = family(2)
