@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rootline.functions.expressions import union_sorted
 from rootline.operators.rank import top1
 from rootline.operators.sequences import peptide_join, residue_match
+from rootline.operators.shared import shared_table
 from rootline.sources.schemas import ASSIGNMENT_COLUMNS
 
 #: The order in which kinds of proteomes are preferred.
@@ -22,20 +23,21 @@ def bare_subject(subject: Column) -> Column:
 def alignment_score(alignments: DataFrame, source_lengths: DataFrame) -> DataFrame:
     """alignments with Score = alignment length * identity / query length; it may exceed 100 with gaps."""
     n = source_lengths.select(F.col("Source Accession").alias("Query"), F.col("Length").alias("_len"))
-    return alignments.join(n, "Query", "left").withColumn("Subject", bare_subject(F.col("Subject"))).withColumn("Score", F.try_divide(F.col("Alignment Length") * F.col("% Identity"), F.col("_len"))).drop("_len")
+    return alignments.join(n.hint("merge"), "Query", "left").withColumn("Subject", bare_subject(F.col("Subject"))).withColumn("Score", F.try_divide(F.col("Alignment Length") * F.col("% Identity"), F.col("_len"))).drop("_len")
 
 
 def top_proteins(sources: DataFrame, alignments: DataFrame, proteome: DataFrame, nulls_first: bool = True) -> DataFrame:
     """(Source Accession, Subject, Score, gene) for every source: the best subject by score, then reviewed, then id.
 
-    nulls_first ranks a subject that the proteome lacks before others, as the legacy order does.
+    nulls_first ranks a subject that the proteome lacks before others, as the legacy order does. Both sides of each join grow
+    with the tables, so none is broadcast: a compressed file looks far smaller than its rows.
     """
     p = proteome.select(F.col("Protein ID").alias("Subject"), "Gene", (F.col("Database") == "sp").alias("reviewed"))
-    scored = alignment_score(alignments, sources).join(p, "Subject", "left")
+    scored = alignment_score(alignments, sources).join(p.hint("merge"), "Subject", "left")
     reviewed = F.col("reviewed").desc_nulls_first() if nulls_first else F.col("reviewed").desc_nulls_last()
     best = top1(scored, ["Query"], [F.col("Score").desc_nulls_last(), reviewed, F.col("Subject")])
     best = best.select(F.col("Query").alias("Source Accession"), F.col("Subject").alias("Source Assigned Protein ID"), F.col("Score").alias("Source Alignment Score"), F.col("Gene").alias("Source Assigned Gene"))
-    return sources.select("Source Accession").distinct().join(best, "Source Accession", "left")
+    return sources.select("Source Accession").distinct().join(best.hint("merge"), "Source Accession", "left")
 
 
 def override(assigned: DataFrame, manual: DataFrame) -> DataFrame:
@@ -68,16 +70,17 @@ def peptide_parents(peptides: DataFrame, proteome: DataFrame, assigned: DataFram
     Matches are joined with what the peptide's sources were assigned: by gene (many-to-one, the source proteins reduced to
     a set first) or by the very protein. The winner of a sequence has gene priority, is the source's protein, is reviewed,
     has the lowest existence level, then the least id and position. It is joined back by gene, else by protein; peptides
-    that get nothing fall back to their source's protein without positions.
+    that get nothing fall back to their source's protein without positions. No side that grows with the tables is broadcast.
     """
-    src = peptides.join(assigned, "Source Accession", "left")
+    src = shared_table(peptides.join(assigned.hint("merge"), "Source Accession", "left"), "peptide-sources")
     p = proteome.select(F.col("Protein ID").alias("protein"), F.nullif("Gene", F.lit("")).alias("gene"), (F.col("Database") == "sp").alias("reviewed"), F.col("Protein Existence Level").cast("int").alias("level"),
                         (F.col("Gene Priority").cast("int") if "Gene Priority" in proteome.columns else F.lit(None).cast("int")).alias("priority"))
-    hits = peptide_join(peptides.select("Sequence"), "Sequence", proteome, "Protein ID", "Sequence", k).withColumnRenamed("query", "Sequence").join(p, "protein")
-    genes = src.where("`Source Assigned Gene` is not null").groupBy("Sequence", F.col("Source Assigned Gene").alias("gene")).agg(F.collect_set("Source Assigned Protein ID").alias("own"))
-    by_gene = hits.join(genes, ["Sequence", "gene"]).withColumn("same", F.array_contains("own", F.col("protein"))).drop("own")
+    hits = peptide_join(src.select("Sequence"), "Sequence", proteome, "Protein ID", "Sequence", k).withColumnRenamed("query", "Sequence").join(p.hint("merge"), "protein")
+    genes = src.where("`Source Assigned Gene` is not null").select("Sequence", F.col("Source Assigned Gene").alias("gene"), F.col("Source Assigned Protein ID").alias("protein"))
+    own = genes.where("protein is not null").distinct().withColumn("same", F.lit(True))
+    by_gene = hits.join(genes.select("Sequence", "gene").distinct().hint("merge"), ["Sequence", "gene"]).join(own.hint("merge"), ["Sequence", "gene", "protein"], "left").withColumn("same", F.coalesce("same", F.lit(False)))
     exact = src.where("`Source Assigned Protein ID` is not null").select("Sequence", F.col("Source Assigned Protein ID").alias("protein")).distinct()
-    by_protein = hits.join(exact, ["Sequence", "protein"])
+    by_protein = hits.join(exact.hint("merge"), ["Sequence", "protein"])
     tail = [F.col("reviewed").desc_nulls_first(), F.col("level").asc_nulls_first(), F.col("protein"), F.col("start"), F.col("end")]
     gene_best = top1(by_gene, ["Sequence", "gene"], [F.col("priority").desc_nulls_last(), F.col("same").desc_nulls_first(), *tail])
     gene_best = top1(gene_best, ["Sequence"], [F.col("priority").desc_nulls_last(), F.col("same").desc_nulls_first(), *tail])

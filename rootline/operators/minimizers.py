@@ -18,6 +18,8 @@ from rootline.operators.shared import shared_table
 
 #: Seeds that are sent to every task: 16 bytes each.
 MOST_BROADCAST = 2_000_000
+#: Bytes of queries that are sent to every task, to be compared where their seeds were found.
+MOST_BYTES = 16_000_000
 PIECE = 1 << 17  # code points worked on together
 PLACES = 1 << 20
 PRIME = 0x100000001B3
@@ -139,7 +141,8 @@ def occurrences(queries: DataFrame, texts: DataFrame, k: int, window: int, index
     (protein, seq).
 
     Up to ``most_broadcast`` seeds go to the tasks, which read the texts twice, once to count the seeds and once to cut out
-    what the queries of the rarest ones are compared with, so no text is shuffled. More seeds, and a stored ``index``, are
+    what the queries of the rarest ones are compared with, so no text is shuffled; queries of more than ``MOST_BYTES`` meet
+    these cuttings by a shuffle. More seeds, and a stored ``index``, are
     joined by seed, and the candidates meet the texts by protein. A query whose seed no text has ends there.
     """
     spark = queries.sparkSession
@@ -173,7 +176,11 @@ def occurrences(queries: DataFrame, texts: DataFrame, k: int, window: int, index
         if need.isEmpty():
             return spark.createDataFrame([], f"query string, protein {kind}, start long")
         near = scan(sent(need), True, f"protein {kind}, pos long, seed long, since long, around string")
-        hits = near.join(anchors.join(own, "number"), "seed").select("query", "protein", start, "since", "around").where("start >= since")
+        compared = anchors.join(own, "number")
+        size = compared.agg(F.sum(F.octet_length("query") + 64)).first()[0] or 0
+        # Spark takes what the scan finds for no larger than the texts' compressed file, and would broadcast it
+        near, compared = (near, F.broadcast(compared)) if size <= MOST_BYTES else (near.hint("merge"), compared)
+        hits = near.join(compared, "seed").select("query", "protein", start, "since", "around").where("start >= since")
         return hits.where(F.expr("substring(around, start - since + 1, length(query))") == F.col("query")).select("query", "protein", "start")
     hits = shared_table(index.join(anchors, "seed").where("pos >= offset").select("number", "protein", start), "candidates")
     return hits.join(texts, "protein").join(own, "number").where(F.expr("substring(seq, start, length(query))") == F.col("query")).select("query", "protein", "start")
