@@ -74,6 +74,12 @@ def clean_sequence(c: Column) -> Column:
     return F.regexp_replace(F.upper(c), "[^A-Z]", "")
 
 
+def upper_letter(c: Column) -> Column:
+    """The capital of one letter, always one letter: upper() makes two of some (ß), and so moves what stands behind them."""
+    up = F.upper(c)
+    return F.when(F.length(up) == 1, up).when(c == "ß", F.lit("ẞ")).otherwise(F.initcap(c))
+
+
 def slug(c: Column) -> Column:
     """A key for file names: spaces become hyphens, slashes underscores; brackets, dots and quotes go."""
     return F.translate(c, " /().'\"", "-_")

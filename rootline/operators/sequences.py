@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rootline.functions.expressions import upper_letter
 from rootline.operators import minimizers, seeds
 from rootline.operators.shared import shared_table
 
@@ -81,18 +82,24 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate([np.zeros(0, np.int64), *numbers]))], ["epitope", "number"])
 
 
-def residue_index(numbered: DataFrame, seq: str, positions: Column) -> DataFrame:
-    """(pos, aa, bucket, bitmap, n): which of the numbered sequences have a letter at a position, for an array of positions;
-    a bitmap for each bucket of 32,768 numbers, and how many there are in all."""
+def _letter(seq: Column, pos: Column, any_case: bool) -> Column:
+    own = F.substring(seq, pos, F.lit(1))
+    return upper_letter(own) if any_case else own
+
+
+def residue_index(numbered: DataFrame, seq: str, positions: Column, any_case: bool = False) -> DataFrame:
+    """(pos, aa, bucket, bitmap, n): which of the numbered sequences have a letter (its capital, with ``any_case``) at a
+    position, for an array of positions; a bitmap for each bucket of 32,768 numbers, and how many there are in all."""
     at = F.explode(F.filter("_at", lambda p: (p >= 1) & (p <= F.length(seq))))
-    have = numbered.select("number", seq, positions.alias("_at")).select("number", seq, at.alias("pos")).select("number", "pos", F.substring(F.col(seq), F.col("pos"), F.lit(1)).alias("aa"))
+    have = numbered.select("number", seq, positions.alias("_at")).select("number", seq, at.alias("pos")).select("number", "pos", _letter(F.col(seq), F.col("pos"), any_case).alias("aa"))
     maps = have.groupBy("pos", "aa", F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap"))
     counts = maps.groupBy("pos", "aa").agg(F.sum(F.bitmap_count("bitmap")).alias("n"))
     return maps.join(counts, ["pos", "aa"])
 
 
-def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: DataFrame, protein: str, seq: str, rarest: int = 3) -> DataFrame:
-    """(epitope, protein) pairs where every residue of the epitope (array of (aa, pos)) stands at its position.
+def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: DataFrame, protein: str, seq: str, rarest: int = 3, any_case: bool = False) -> DataFrame:
+    """(epitope, protein) pairs where every residue of the epitope (array of (aa, pos)) stands at its position. Residues are
+    capitals or become such; sequences are taken as they are, or letter by letter in ``any_case``.
 
     Bitmaps say which proteins have a letter at a position. Those of each epitope's ``rarest`` residues are intersected, and
     what is left is looked up; a residue that no protein has ends it. No pair of epitope and protein is a row before that.
@@ -100,9 +107,9 @@ def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: Data
     listed = epitopes.where(F.size(tokens) > 0).select(F.col(epitope).alias("epitope"), F.col(tokens).alias("tokens"))
     listed = shared_table(listed.where(F.forall("tokens", lambda t: t["pos"] >= 1)), "residues")
     numbered = shared_table(proteins.where(F.col(seq).isNotNull()).select(F.col(protein).alias("protein"), F.col(seq).alias("_s")).withColumn("number", F.monotonically_increasing_id() + 1), "numbered")  # bitmaps count from 1
-    asked = listed.select("epitope", F.explode(F.transform("tokens", lambda t: F.struct(t["pos"].cast("int").alias("pos"), F.upper(t["aa"]).alias("aa")))).alias("t")).select("epitope", "t.*").distinct()
+    asked = listed.select("epitope", F.explode(F.transform("tokens", lambda t: F.struct(t["pos"].cast("int").alias("pos"), upper_letter(t["aa"]).alias("aa")))).alias("t")).select("epitope", "t.*").distinct()
     positions = asked.agg(F.collect_set("pos")).scalar()  # at most as many as the longest sequence has
-    index = shared_table(residue_index(numbered, "_s", positions), "residue-bitmaps")
+    index = shared_table(residue_index(numbered, "_s", positions, any_case), "residue-bitmaps")
     counts = index.groupBy("pos", "aa").agg(F.first("n").alias("n"))
     order = Window.partitionBy("epitope").orderBy("n", "pos", "aa")
     rare = asked.join(counts, ["pos", "aa"], "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= rarest)
@@ -111,7 +118,7 @@ def residue_match(epitopes: DataFrame, epitope: str, tokens: str, proteins: Data
     left = both.join(need, "epitope").where("have = need").where(F.bitmap_count("bitmap") > 0).select("epitope", "bucket", "bitmap")
     kind = left.schema["epitope"].dataType.simpleString()
     found = left.mapInArrow(_bits, f"epitope {kind}, number long").join(listed, "epitope").join(numbered, "number")
-    return found.where(F.forall("tokens", lambda t: F.substring(F.col("_s"), t["pos"], F.lit(1)) == F.upper(t["aa"]))).select("epitope", "protein")
+    return found.where(F.forall("tokens", lambda t: _letter(F.col("_s"), t["pos"], any_case) == upper_letter(t["aa"]))).select("epitope", "protein")
 
 
 @lru_cache(1)

@@ -594,7 +594,7 @@ SELECT item_id AS epitope, doc_id AS protein FROM benchmark b JOIN documents d O
 def residue_position_match(t):
     token = lambda p: F.struct(F.substring("text", p, 1).alias("aa"), F.lit(p).alias("pos"))
     e = t("benchmark").where(F.length("text") > 4).select(F.col("item_id").alias("epitope"), F.array(token(1), token(2), token(4)).alias("tokens"))
-    return sequences.residue_match(e, "epitope", "tokens", t("documents").withColumn("text", F.upper("text")), "doc_id", "text")
+    return sequences.residue_match(e, "epitope", "tokens", t("documents"), "doc_id", "text", any_case=True)
 
 
 def _pairs(t, local):

@@ -2,9 +2,11 @@
 
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from rootline.operators import sequences
+from rootline.plans import catalogue
 
 
 def test_residues_at_positions(spark):
@@ -29,3 +31,17 @@ def test_numbers_beyond_one_bitmap(spark):
     e = spark.createDataFrame([("x", [("K", 1), ("W", 2)])], "id string, tokens array<struct<aa: string, pos: int>>")
     got = sequences.residue_match(e, "id", "tokens", p, "protein", "seq").select("protein").collect()
     assert sorted(r[0] for r in got) == list(range(7, 70_000, 1000))
+
+
+def test_capitals_do_not_move_what_follows(spark):
+    """ß and a few more have capitals of two letters."""
+    docs = [(1, "Erß scale"), (2, "ERSS"), (3, "aẞ x"), (4, "ŉŉoo"), (5, "ᾀb-ax"), (6, None), (7, "er s")]
+    asked = [(10, "Er. And"), (11, "aß.xyz"), (12, "ŉŉxotter"), (13, "ᾈb-a  "), (14, "short")]
+    frames = {"documents": spark.createDataFrame(docs, "doc_id long, text string"), "benchmark": spark.createDataFrame(asked, "item_id long, text string")}
+    db = duckdb.connect()
+    for name, rows in (("documents", docs), ("benchmark", asked)):
+        db.execute(f"create table {name} ({'doc_id' if name == 'documents' else 'item_id'} bigint, text varchar)")
+        db.executemany(f"insert into {name} values (?, ?)", rows)
+    want = sorted(db.execute(catalogue.ORACLES["residue_position_match"]).fetchall())
+    assert sorted((r.epitope, r.protein) for r in catalogue.residue_position_match(frames.__getitem__).collect()) == want
+    assert {(10, 1), (11, 3), (12, 4), (13, 5)} == set(want)
