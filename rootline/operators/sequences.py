@@ -348,7 +348,7 @@ LAMBDA, KAPPA = 0.267, 0.041
 
 
 def similarity_join(
-    queries: DataFrame, query: str, qseq: str, subjects: DataFrame, subject: str, sseq: str, k: int = 3, least_shared: int = 2, top: int = 50, evalue: float | None = None, exact: bool | None = None
+    queries: DataFrame, query: str, qseq: str, subjects: DataFrame, subject: str, sseq: str, k: int = 3, least_shared: int = 2, top: int | None = 50, evalue: float | None = None, exact: bool | None = None
 ) -> DataFrame:
     """The 12 alignment columns for the best subjects of each query. Bit scores and E-values follow from the raw score, the
     query's length and all letters of the subjects (without corrections for the ends); ``evalue`` keeps those up to it.
@@ -356,7 +356,7 @@ def similarity_join(
     With an ``evalue`` the distinct pairs aligned are those that are worth it (``seeds.py``): two word hits on a diagonal, an
     ungapped extension and a band with gaps that come near the score that the E-value asks for; a weak hit may be missed. ``exact``, or no ``evalue``: every
     pair that shares ``least_shared`` distinct k-mers, which for long sequences is nearly every pair. Of the alignments the
-    ``top`` best of each query stay: by score, then shared k-mers or the extension's score, then subject.
+    ``top`` best of each query stay (None: all): by score, then shared k-mers or the extension's score, then subject.
     """
     qs = shared_table(queries.select(F.col(qseq).alias("_q")).where("_q is not null").distinct().withColumn("_a", F.monotonically_increasing_id()), "query-sequences")
     ss = shared_table(subjects.where(F.col(sseq).isNotNull()).groupBy(F.col(sseq).alias("_s")).agg(F.min(subject).alias("_least")).withColumn("_b", F.monotonically_increasing_id()), "subject-sequences")
@@ -368,23 +368,40 @@ def similarity_join(
         asked = lambda n: (math.log(n * max(letters, 1) / evalue) + math.log(KAPPA)) / LAMBDA if evalue else 0.0
         shared = seeds.seeded_pairs(qs, "_a", "_q", ss, "_b", "_s", asked).select(F.col("query").alias("_a"), F.col("subject").alias("_b"), F.col("ungapped").alias("shared"))
     pairs = shared.join(qs, "_a").join(ss, "_b").withColumn("_x", _aligner(True)(F.col("_q"), F.col("_s"))).select("_a", "_q", "_s", "shared", "_least", "_x.*").where(F.length("aligned_a") > 0)
+    bits = (LAMBDA * F.col("score") - math.log(KAPPA)) / math.log(2)
+    pairs = pairs.withColumn("_bits", bits).withColumn("_e", F.length("_q") * F.lit(letters) * F.pow(F.lit(2.0), -F.col("_bits")))
+    pairs = pairs if evalue is None else pairs.where(F.col("_e") <= evalue)
     # a subject among the best has one of the first sequences, and is among the first subjects that have it
-    first = lambda df, by, *order: df.withColumn("_rn", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_rn") <= top).drop("_rn")
+    first = lambda df, by, *order: df if top is None else df.withColumn("_rn", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_rn") <= top).drop("_rn")
     best = first(pairs, "_a", F.col("score").desc(), F.col("shared").desc(), "_least")
-    named = first(subjects.select(subject, F.col(sseq).alias("_s")).distinct(), "_s", subject)
-    found = best.join(queries.select(query, F.col(qseq).alias("_q")).distinct(), "_q").join(named, "_s")
-    bits = (LAMBDA * F.col("score") - math.log(KAPPA)) / math.log(2)
-    found = found.withColumn("_bits", bits).withColumn("_e", F.length("_q") * F.lit(letters) * F.pow(F.lit(2.0), -F.col("_bits")))
-    found = found if evalue is None else found.where(F.col("_e") <= evalue)
-    done = first(found, query, F.col("score").desc(), F.col("shared").desc(), subject)
+    named = first(subjects.select(subject, F.col(sseq).alias("_s")).where("_s is not null").distinct(), "_s", subject)
     cols = F.arrays_zip(F.split("aligned_a", "").alias("x"), F.split("aligned_b", "").alias("y"))
     same = F.size(F.filter(cols, lambda c: c["x"] == c["y"]))
     gaps = F.size(F.filter(cols, lambda c: (c["x"] == "-") | (c["y"] == "-")))
     opened = F.size(F.regexp_extract_all("aligned_a", F.lit("-+"), F.lit(0))) + F.size(F.regexp_extract_all("aligned_b", F.lit("-+"), F.lit(0)))
     length = F.length("aligned_a")
-    return done.select(
-        F.col(query).alias("Query"), F.col(subject).alias("Subject"), F.round(100 * same / length, 3).alias("% Identity"), length.cast("long").alias("Alignment Length"),
+    # the columns are worked out once for each pair of sequences, before it is told for each query and subject that have them
+    told = best.select(
+        "_q", "_s", "score", "shared", F.round(100 * same / length, 3).alias("% Identity"), length.cast("long").alias("Alignment Length"),
         (length - same - gaps).cast("long").alias("Mismatches"), opened.cast("long").alias("Gap Openings"), F.col("start_a").cast("long").alias("Query Start"),
         (F.col("start_a") + F.length(F.replace("aligned_a", F.lit("-"), F.lit(""))) - 1).cast("long").alias("Query End"), F.col("start_b").cast("long").alias("Subject Start"),
         (F.col("start_b") + F.length(F.replace("aligned_b", F.lit("-"), F.lit(""))) - 1).cast("long").alias("Subject End"), F.col("_e").alias("E-value"), F.col("_bits").alias("Bit Score"),
     )
+    asking = shared_table(shared_table(told, "told").join(queries.select(F.col(query).alias("Query"), F.col(qseq).alias("_q")).distinct().hint("merge"), "_q").drop("_q"), "asking")
+    found = _expanded(asking, named.withColumnRenamed(subject, "Subject"), "_s")
+    done = first(found, "Query", F.col("score").desc(), F.col("shared").desc(), "Subject")
+    return done.select("Query", "Subject", *told.columns[4:])
+
+
+def _expanded(left: DataFrame, right: DataFrame, key: str, cell: int = 4_000_000) -> DataFrame:
+    """The join of two tables with few, frequent values of a key, whose result may be far larger than both: each value's pairs
+    are dealt over cells of about ``cell`` pairs, by parts of the right side, and cells over tasks by their number."""
+    right = shared_table(right, "expanded")
+    many = left.groupBy(key).agg(F.count(F.lit(1)).alias("_m")).join(right.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).hint("merge"), key)
+    parts = shared_table(many.withColumn("_parts", F.least("_n", F.ceil(F.col("_m") * F.col("_n") / cell)).cast("int")).select(key, "_m", "_n", "_parts"), "cells")
+    tasks = min(20_000, 1 + int((parts.agg(F.sum(F.col("_m").cast("double") * F.col("_n"))).first()[0] or 0) / cell))
+    parts = parts.select(key, "_parts").hint("merge")
+    own = left.join(parts, key).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    to = right.join(parts, key).withColumn("_part", F.pmod(F.xxhash64(*right.columns), F.col("_parts")).cast("int")).drop("_parts")
+    spread = lambda df: df.repartition(tasks, key, "_part")
+    return spread(own).join(spread(to).hint("merge"), [key, "_part"]).drop("_part")

@@ -676,7 +676,7 @@ def similarity_hits(t):
     """All hits up to an E-value of 1, by word hits and extensions; the oracle aligns all pairs."""
     p = t("part").select(F.col("p_partkey").cast("string").alias("id"), X.clean_sequence(F.concat("p_name", "p_type")).alias("seq"))
     q = t("supplier").join(p, p.id == F.col("s_suppkey").cast("string")).select(F.col("id").alias("qid"), F.col("seq").alias("qseq"))
-    hits = sequences.similarity_join(q, "qid", "qseq", p, "id", "seq", top=1 << 30, evalue=_EXPECTED)
+    hits = sequences.similarity_join(q, "qid", "qseq", p, "id", "seq", top=None, evalue=_EXPECTED)
     score = F.round((F.col("Bit Score") * math.log(2) + math.log(sequences.KAPPA)) / sequences.LAMBDA).cast("int")
     return hits.select("Query", "Subject", score.alias("score"), F.round("Bit Score", 6).alias("bits"))
 

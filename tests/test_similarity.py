@@ -141,3 +141,14 @@ def test_extension_stops_at_edges_and_drops():
     assert seeds.extended(a, a, *at, 1, 16).tolist() == [5 * w + 5 * table[0, 0]]
     b, other = seeds.codes(["WWWWWPPPPPWWWWW"])
     assert seeds.extended(a, b, at[0], np.array([other[0]]), 1, 3).tolist() == [5 * w]
+
+
+@pytest.mark.parametrize("cell", [3, 4_000_000])
+def test_frequent_sequences_are_dealt_over_tasks(spark, cell):
+    left = spark.range(40).select(F.col("id").alias("a"), F.when(F.col("id") % 4 > 0, "x").otherwise(F.col("id").cast("string")).alias("k"))
+    right = spark.range(60).select(F.col("id").alias("b"), F.when(F.col("id") % 3 > 0, "x").otherwise(F.col("id").cast("string")).alias("k"))
+    got = sequences._expanded(left, right, "k", cell)
+    want = sorted(map(tuple, left.join(right, "k").select("a", "b").collect()))
+    assert sorted(map(tuple, got.select("a", "b").collect())) == want and len(want) == 1204
+    largest = max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())
+    assert largest <= (12 * 30 if cell == 3 else 1204)
