@@ -148,27 +148,29 @@ def list_members(s: DataFrame) -> DataFrame:
     cells = s.where("predicate = 'rdf:first'").select(F.col("subject").alias("cell"), F.col("object").alias("member"))
     back = s.where("predicate = 'rdf:rest' and object <> 'rdf:nil'").select(F.col("object").alias("child"), F.col("subject").alias("parent"))
     placed = tree.roots(back).select(F.col("node").alias("cell"), F.col("root").alias("head"), F.col("depth").alias("place"))
-    at_cycle = back.select(F.col("child").alias("cell")).union(back.select("parent")).distinct().join(placed.select("cell"), "cell", "left_anti")
-    out = cells.join(placed, "cell", "left").join(at_cycle, "cell", "left_anti")
+    at_cycle = back.select(F.col("child").alias("cell")).union(back.select("parent")).distinct().join(placed.select("cell").hint("merge"), "cell", "left_anti")
+    out = cells.join(placed.hint("merge"), "cell", "left").join(at_cycle.hint("merge"), "cell", "left_anti")
     return out.select(F.coalesce("head", "cell").alias("head"), F.coalesce("place", F.lit(0)).alias("place"), "member")
 
 
 def relax(s: DataFrame) -> DataFrame:
     """Adds the subclass axioms that follow from equivalences: a named class that is equivalent to a blank expression is a
     subclass of it, or of each member where it is an intersection, in which intersections may be nested. To be done before
-    ``reduce``, which drops equivalences. Equivalences of two named classes, and of blank ones, give nothing.
+    ``reduce``, which drops equivalences. Equivalences of two named classes, and of blank ones, give nothing. The statements are
+    stored first, since they are read many times over.
     """
+    s = shared_table(s, "relax-statements")
     blank = F.col("subject").startswith("_:")
-    of = shared_table(s.where("predicate = 'owl:intersectionOf'").select(F.col("subject").alias("node"), F.col("object").alias("head")).join(list_members(s), "head").select("node", "member").distinct(), "intersections")
+    of = shared_table(s.where("predicate = 'owl:intersectionOf'").select(F.col("subject").alias("node"), F.col("object").alias("head")).join(list_members(s).hint("merge"), "head").select("node", "member").distinct(), "intersections")
     start = s.where((F.col("predicate") == "owl:equivalentClass") & (blank != F.col("object").startswith("_:")))
     now = start.select(F.when(blank, F.col("object")).otherwise(F.col("subject")).alias("subject"), F.when(blank, F.col("subject")).otherwise(F.col("object")).alias("node")).distinct()
     intersections = of.select("node").distinct()
     whole, seen, now = [], None, shared_table(now, "relax")
     while not now.isEmpty():  # a round for each level of nesting
-        whole.append(now.join(intersections, "node", "left_anti"))
+        whole.append(now.join(intersections.hint("merge"), "node", "left_anti"))
         seen = now if seen is None else shared_table(seen.union(now), "relax-seen")
-        opened = now.join(of, "node").select("subject", F.col("member").alias("node")).distinct()
-        now = shared_table(opened.join(seen, ["subject", "node"], "left_anti"), "relax")
+        opened = now.join(of.hint("merge"), "node").select("subject", F.col("member").alias("node")).distinct()
+        now = shared_table(opened.join(seen.hint("merge"), ["subject", "node"], "left_anti"), "relax")
     if not whole:
         return s
     new = reduce(DataFrame.union, whole).where("subject <> node")

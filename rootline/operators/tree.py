@@ -35,10 +35,11 @@ def _doubled(state: DataFrame, merge: dict[str, Callable[[Column, Column], Colum
     for _ in range(math.ceil(math.log2(now.count() + 1)) + 1):
         if now.where("up is not null").isEmpty():
             break
-        # roots and nodes that have arrived aren't joined: they would all have one key
+        # roots and nodes that have arrived aren't joined: they would all have one key; a stored table looks small enough to be
+        # broadcast long after its rows aren't
         there, going = now.where("up is null"), now.where("up is not null")
         target = now.select(F.col("node").alias("up"), F.col("up").alias("_up"), *[F.col(c).alias(f"_{c}") for c in merge])
-        moved = going.join(target, "up").select("node", F.col("_up").alias("up"), *[(merge[c](F.col(c), F.col(f"_{c}")) if c in merge else F.col(c)).alias(c) for c in now.columns[2:]])
+        moved = going.join(target.hint("merge"), "up").select("node", F.col("_up").alias("up"), *[(merge[c](F.col(c), F.col(f"_{c}")) if c in merge else F.col(c)).alias(c) for c in now.columns[2:]])
         after = there.unionByName(moved)
         now = shared_table(before(now, after) if before else after, "tree")
     return now

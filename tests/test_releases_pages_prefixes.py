@@ -5,8 +5,9 @@ import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
+from pyspark.sql import functions as F
 
-from rootline.operators import ontology, prefixes
+from rootline.operators import ontology, prefixes, statements
 from rootline.sources import paged, snapshots
 
 
@@ -140,3 +141,19 @@ def test_relaxing(spark):
     assert rows(new) == sorted(want, key=repr)
     plain = graph(spark, [("x:a", "rdfs:subClassOf", "x:b")])
     assert rows(ontology.relax(plain)) == rows(plain)
+
+
+def test_relaxing_works_the_statements_out_once(spark):
+    """And sends none of them to the driver to be broadcast."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(x):
+        seen.add(1)
+        return x
+
+    own = [("x:a", "owl:equivalentClass", "_:e"), ("_:e", "owl:intersectionOf", "_:l"), ("_:l", "rdf:first", "x:b"), ("_:l", "rdf:rest", "_:m"), ("_:m", "rdf:first", "x:c"), ("_:m", "rdf:rest", "rdf:nil")]
+    g = spark.createDataFrame([(1, 0, "g", *x, "_IRI", None) for x in own], statements.SCHEMA)
+    out = ontology.relax(g.withColumn("subject", F.udf(told)("subject")).coalesce(1))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    got = rows(out.where("predicate = 'rdfs:subClassOf'").select("subject", "object"))
+    assert got == [("x:a", "x:b"), ("x:a", "x:c")] and seen.value == len(own)
