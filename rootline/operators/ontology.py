@@ -77,10 +77,11 @@ def classes_without_label(s: DataFrame) -> DataFrame:
 
 
 def apply_rule(s: DataFrame, delete: DataFrame | None, insert: DataFrame | None) -> DataFrame:
-    """Deletes then inserts (subject, predicate, object[, datatype]) rows; the result is a set."""
+    """Deletes then inserts (subject, predicate, object[, datatype]) rows; the result is a set. What is deleted may be as large
+    as the statements and isn't broadcast."""
     out = s
     if delete is not None:
-        out = out.join(delete.select("subject", "predicate", "object").distinct(), ["subject", "predicate", "object"], "left_anti").select(*s.columns)
+        out = out.join(delete.select("subject", "predicate", "object").distinct().hint("merge"), ["subject", "predicate", "object"], "left_anti").select(*s.columns)
     if insert is not None:
         fixed = {"assertion": F.lit(1), "retraction": F.lit(0), "graph": F.lit("graph"), "datatype": F.lit(IRI), "annotation": F.lit(None).cast("string")}
         rows = insert.select(*[F.col(c) if c in insert.columns else fixed[c].alias(c) for c in s.columns])
@@ -138,7 +139,7 @@ def disease_rules(s: DataFrame) -> DataFrame:
 def promote_labels(s: DataFrame, alternative: str, synonym: str) -> DataFrame:
     """The value of an alternative-term predicate becomes the label; the old label becomes a synonym."""
     alt = s.where(F.col("predicate") == alternative).select("subject", F.col("object").alias("_alt"))
-    old = s.where("predicate = 'rdfs:label'").join(alt, "subject")
+    old = s.where("predicate = 'rdfs:label'").join(alt.hint("merge"), "subject")
     new = old.select("subject", F.explode(F.array(F.struct(F.lit("rdfs:label").alias("predicate"), F.col("_alt").alias("object")), F.struct(F.lit(synonym).alias("predicate"), F.col("object")))).alias("x"))
     return apply_rule(s, old, new.select("subject", "x.*", F.lit(STRING).alias("datatype")))
 

@@ -157,3 +157,12 @@ def test_relaxing_works_the_statements_out_once(spark):
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     got = rows(out.where("predicate = 'rdfs:subClassOf'").select("subject", "object"))
     assert got == [("x:a", "x:b"), ("x:a", "x:c")] and seen.value == len(own)
+
+
+def test_rules_broadcast_no_statements(spark):
+    own = [("x:a", "rdfs:label", "A"), ("x:a", "x:level", "upper"), ("x:b", "rdfs:label", "B"), ("x:a", "rdfs:subClassOf", "x:b")]
+    s = spark.createDataFrame([(1, 0, "g", *x, "xsd:string", None) for x in own], statements.SCHEMA)
+    out = ontology.promote_labels(ontology.move_all(s, ["x:a"], "x:top"), "x:level", "x:synonym")
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    want = [("x:a", "rdfs:label", "upper"), ("x:a", "x:synonym", "A"), ("x:a", "x:level", "upper"), ("x:b", "rdfs:label", "B"), ("x:a", "rdfs:subClassOf", "x:top")]
+    assert rows(out.select("subject", "predicate", "object")) == sorted(want, key=repr)
