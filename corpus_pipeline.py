@@ -48,7 +48,8 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8) stays: that with the smallest id.
+    """One document of each group of near duplicates stays: that with the smallest id. Documents link by SimHash as in op 5
+    (fingerprints of three-word shingles, 3 bits or fewer apart) and by similarity (five-word shingles, 0.8).
 
     Nulls come after ids; of rows that share an id the lesser text mark stays; rows that repeat id and text count once;
     null texts and texts without words are one group; an empty table stays empty; other columns are left out.

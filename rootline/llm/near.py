@@ -1,16 +1,22 @@
-"""Near-dedup on word shingles by similarity: bands of min-wise hashes find candidates, the whole sketch verifies them.
+"""Near-dedup by SimHash fingerprints, as op 5 links them, and by similarity of word shingles.
+
+Fingerprints of three-word shingles that differ in ``radius`` bits or less link, found by the covering masks of
+``simhash``. Copies with passages added or cut are often further apart; so links by similarity come on top: bands of
+min-wise hashes find candidates, the whole sketch verifies them.
 
 A document's sketch is a byte of each of 512 min-wise hashes of its five-word shingles, whose share of agreement
 estimates the similarity (standard error 0.018 at 0.8). Half a standard error is granted, so that of pairs just above
 the limit most are found. Candidates share one of 51 bands of five bytes: of two sketches that agree to 0.78 they miss
-all with a probability under 1e-7, whatever was edited, added or cut. Documents with equal sketches are one node.
+all with a probability under 1e-7, whatever was edited, added or cut. Documents with equal sketches and fingerprints
+are one node.
 
 Buckets give a spanning forest of their verified links, never all pairs: each row is compared with the bucket's least
 node first; then, only where a bucket still holds several groups, the rows outside its largest group are compared with
 all rows of other groups. What is larger than ``bucket`` is cut into parts, and every two parts that hold something to
 compare meet in a cell of bounded size, so nothing is left out, and a bucket that one group fills costs in proportion.
 
-What is shuffled: the sketches once to find equal ones and once more where a bucket holds them; and 24 bytes a band.
+What is shuffled: the sketches once to find equal ones and once more where a bucket holds them; 24 bytes a band; and
+28 bytes a mask and fingerprint.
 The joins that carry sketches are the same at every size, so small runs tell what large ones take.
 
 Defined cases: null and texts without words are alike, and one group; texts shorter than a shingle are one shingle;
@@ -29,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rootline.llm import simhash
 from rootline.llm.common import stored, text_marks
 from rootline.llm.components import components
 from rootline.llm.words import tidied
@@ -65,15 +72,17 @@ def sketch(text: bytes | None, words: int = 5) -> bytes:
 
 
 def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
-    """(doc_id, t1, t2: marks of the text, low: the sketch, h1, h2: the sketch's name)."""
+    """(doc_id, t1, t2: marks of the text, low: the sketch, h1, h2: the sketch's name, fp: op 5's fingerprint)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [sketch(t, words) for t in batch.column(3).cast(pa.binary()).to_pylist()]
+            texts = batch.column(3).cast(pa.binary()).to_pylist()
+            rows = [sketch(t, words) for t in texts]
+            fps = np.fromiter((simhash.fingerprint(t, 3) for t in texts), np.uint64, len(texts)).view(np.int64)
             names = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, rows)), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rows, pa.binary()), pa.array(names[:, 0]), pa.array(names[:, 1])], ["doc_id", "t1", "t2", "low", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rows, pa.binary()), pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(fps)], ["doc_id", "t1", "t2", "low", "h1", "h2", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_marks(), "text").mapInArrow(tidied(run), "doc_id long, t1 long, t2 long, low binary, h1 long, h2 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_marks(), "text").mapInArrow(tidied(run), "doc_id long, t1 long, t2 long, low binary, h1 long, h2 long, fp long")
 
 
 def _keys(low: np.ndarray) -> np.ndarray:
@@ -173,6 +182,14 @@ def _low(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, _ROWS)
 
 
+def _fingerprint_links(nodes: DataFrame, radius: int) -> DataFrame:
+    """Links that connect all nodes whose fingerprints differ in ``radius`` bits or less."""
+    first = stored(nodes.groupBy("fp").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")), "near-fingerprints").df
+    shared = first.where("n > 1").select("fp", F.col("node").alias("b")).hint("merge")
+    equal = nodes.select("fp", F.col("node").alias("a")).join(shared, "fp").where("a <> b").select("a", "b")
+    return equal.union(simhash.links(first.select("fp", "node"), radius))
+
+
 def _first_links(members: DataFrame, active: DataFrame, most: int) -> DataFrame:
     """Verified links of each bucket's rows to its least node."""
     pairs = members.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
@@ -220,33 +237,34 @@ def most_differing(similarity: float) -> int:
     return int(_ROWS * 255 / 256 * (1 - similarity + _SLACK * error) + 1e-9)
 
 
-def text_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bucket: int = 4096) -> DataFrame:
+def text_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bucket: int = 4096, radius: int = 3) -> DataFrame:
     """(doc_id, t1, t2, grp, component_id) for each document: marks of its text, a number for its group, and the smallest
     doc_id in the group."""
     most = most_differing(similarity)
     rows = stored(sketches(docs, words), "near-sketches").df
     # numbered once, when the table is written, so that rows that repeat an id with another text stay apart
-    nodes = rows.groupBy("h1", "h2", "low").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id())
+    nodes = rows.groupBy("h1", "h2", "fp", "low").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id())
     nodes = stored(nodes, "near-nodes").df
     counts = nodes.select("node", "low").mapInArrow(tidied(_band_counts), "key long, n long, least long")
     buckets = counts.repartition("key").groupBy("key").agg(F.sum("n").alias("n"), F.min("least").alias("least")).where("n > 1")
     buckets = stored(buckets, "near-buckets")
     members = stored(nodes.select("node", "low").mapInArrow(tidied(_bands), "key long, node long").join(buckets.df, "key"), "near-bands")
     active = stored(nodes.select("node", "low").join(members.df.select("node").distinct().hint("merge"), "node", "left_semi"), "near-active")
-    groups = stored(components(_first_links(members.df, active.df, most), "near-components"), "near-groups")
+    groups = stored(components(_fingerprint_links(nodes, radius).union(_first_links(members.df, active.df, most)), "near-components"), "near-groups")
     linked = groups.df.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_more_links(members.df, active.df, groups.df, most, bucket))
     joined = stored(components(linked, "near-components"), "near-groups").df
     for table in (buckets, members, active, groups):
         table.drop()
-    named = nodes.select("h1", "h2", "least", "node").join(joined, "node", "left").withColumn("grp", F.coalesce("component", "node"))
-    named = stored(named.select("h1", "h2", "least", "grp"), "near-named").df
+    named = nodes.select("h1", "h2", "fp", "least", "node").join(joined, "node", "left").withColumn("grp", F.coalesce("component", "node"))
+    named = stored(named.select("h1", "h2", "fp", "least", "grp"), "near-named").df
     least = stored(named.groupBy("grp").agg(F.min("least").alias("component_id")), "near-least").df
-    group = stored(named.join(least, "grp").select("h1", "h2", "grp", "component_id"), "near-group").df
-    return rows.select("doc_id", "t1", "t2", "h1", "h2").join(group, ["h1", "h2"]).select("doc_id", "t1", "t2", "grp", "component_id")
+    group = stored(named.join(least, "grp").select("h1", "h2", "fp", "grp", "component_id"), "near-group").df
+    return rows.select("doc_id", "t1", "t2", "h1", "h2", "fp").join(group, ["h1", "h2", "fp"]).select("doc_id", "t1", "t2", "grp", "component_id")
 
 
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, bucket: int = 4096) -> DataFrame:
-    """(doc_id, component_id) for each document; component_id is the smallest doc_id that links of ``similarity`` reach."""
+    """(doc_id, component_id) for each document; component_id is the smallest doc_id that links of fingerprints or of
+    ``similarity`` reach."""
     return text_groups(docs, words, similarity, bucket).select("doc_id", "component_id")
 
 

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from rootline.llm import near
+from rootline.llm import near, simhash
 
 SCHEMA = "doc_id long, text string, sim string, node string, low string"
 
@@ -146,3 +146,38 @@ def test_recall_of_lone_pairs_by_band(spark, low, least):
     found = sum(got[i + 1] == i for i in truth) / len(truth)
     assert found >= least, found
     assert not any(got[i + 1] == i for i in far)
+
+
+def test_fingerprints_link_what_the_similarity_does_not(spark):
+    """Pairs within three bits of op 5's fingerprint, at similarities where the sketches don't link, and pairs beyond."""
+    r = random.Random(21)
+    rows, linked, apart = [], [], []
+    while len(linked) < 12 or len(apart) < 12:
+        w = [f"w{r.randrange(10**6)}" for _ in range(250)]
+        x = list(w)
+        for at in r.sample(range(5, 245, 6), 9):
+            x[at] = f"e{r.randrange(10**6)}"
+        a, b = " ".join(w), " ".join(x)
+        to = linked if (simhash.fingerprint(a.encode(), 3) ^ simhash.fingerprint(b.encode(), 3)).bit_count() <= 3 else apart
+        assert jaccard(a, b) < 0.71
+        if len(to) < 12:
+            to.append(len(rows))
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    most = near.most_differing(0.8)
+    assert all(sum(x != y for x, y in zip(near.sketch(rows[i][1].encode()), near.sketch(rows[i + 1][1].encode()), strict=True)) > most for i in linked)
+    df = spark.createDataFrame([(i, t, "s", "n", "l") for i, t in rows], SCHEMA)
+    got = {x.doc_id: x.component_id for x in near.similar_documents(df).collect()}
+    assert all(got[i] == got[i + 1] == i for i in linked)
+    assert all(got[i] == i and got[i + 1] == i + 1 for i in apart)
+    assert {x.doc_id for x in near.one_of_each(df).collect()} == {i for i, _ in rows} - {i + 1 for i in linked}
+
+
+def test_equal_sketches_with_other_fingerprints_keep_their_rows(spark):
+    """The same shingles repeated unlike: one sketch, several fingerprints, one group and no row twice."""
+    a, b = (" ".join(f"{c}{i}" for i in range(12)) for c in "ab")
+    rows = [(4, f"{a} {b} {a} " + f"{a} " * 30), (2, f"{a} {b} {a} " + f"{a} " * 2), (9, f"{a} {b} {a} {a}"), (9, f"{a} {b} {a} {a}"), (7, "other words here")]
+    texts = {t for _, t in rows[:3]}
+    assert len({near.sketch(t.encode()) for t in texts}) == 1 and len({simhash.fingerprint(t.encode(), 3) for t in texts}) > 1
+    df = spark.createDataFrame([(i, t, "s", "n", "l") for i, t in rows], SCHEMA)
+    assert sorted((x.doc_id, x.component_id) for x in near.similar_documents(df).collect()) == [(2, 2), (4, 2), (7, 7), (9, 2), (9, 2)]
+    assert sorted(x.doc_id for x in near.one_of_each(df).collect()) == [2, 7]

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from rootline.llm import quality, toxicity
+from rootline.llm import quality, simhash, toxicity
 from rootline.llm.common import shared_dir
 from tests.conftest import SF
 from tests.llm.test_lines_shards_simhash import lines_brute
@@ -59,6 +59,17 @@ def test_one_of_each_group_stays(stages):
             assert i in kept
 
 
+def test_one_of_each_group_of_fingerprints_stays(spark, stages):
+    """The stage's own operator is op 5: no two documents that its links connect stay."""
+    a, b = stages["near_dedup"]
+    kept = set(texts(b))
+    groups = {}
+    for r in simhash.near_duplicates(a).collect():
+        groups.setdefault(r.component_id, []).append(r.doc_id)
+    assert any(len(g) > 1 for g in groups.values())
+    assert all(len(kept.intersection(g)) <= 1 for g in groups.values())
+
+
 def odd_documents(spark, rows):
     """Documents with columns whose names the stages use themselves."""
     extra = "score double, _marks binary, n_lines long, n_dropped long, grp long, _t1 long, label int, length long, low binary"
