@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rootline.llm.words import Words, bounded, tidied
+from rootline.llm.words import Words, bounded, tidied, tidied_after
 
 BITS = 18
 
@@ -112,6 +112,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, rest: i
     return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
 
 
+@tidied_after
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int = 5, rest: int = 0, sample: int = 6_000, bits: int = BITS) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches):

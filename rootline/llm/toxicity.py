@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from rootline.llm.boosting import Trees, calibrated, fit_isotonic, fit_trees
 from rootline.llm.common import stored
 from rootline.llm.quality import held_out, labelled
-from rootline.llm.words import Words, bounded, tidied
+from rootline.llm.words import Words, bounded, tidied, tidied_after
 
 INSULTS = frozenset("idiot moron stupid dumb scum trash loser pathetic worthless disgusting clown jerk fool ugly filthy hate kill idiote crétin connard imbécile ordure idiota imbécil basura estúpido asqueroso dummkopf abschaum trottel arschloch widerlich".split())
 SECOND = frozenset("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine euch ihr tú ti usted ustedes vosotros".split())
@@ -211,6 +211,7 @@ class Model:
         return calibrated(self.trees.raw(features(texts, self.lexica)), self.knots)
 
 
+@tidied_after
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, rest: int = 2, sample: int = 6_000, seed: int = 5) -> Model:
     chosen = stored(labelled(docs, labels, label, parts, rest, sample).select("doc_id", "text", "label"), "toxicity-sample").df
     kind = chosen.schema["doc_id"].dataType.simpleString()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from functools import wraps
 
 import numpy as np
@@ -62,6 +63,21 @@ def tidied(run):
     return out
 
 
+def tidied_after(run):
+    """A function that tidies up when it has returned: for those that hold a sample on the driver, whose Python otherwise keeps
+    the room of the sample for as long as the session lives."""
+
+    @wraps(run)
+    def out(*args, **kwargs):
+        try:
+            return run(*args, **kwargs)
+        finally:
+            gc.collect()
+            tidy()
+
+    return out
+
+
 def bounded(batches, most_bytes: int = 1_000_000):
     """Batches cut so that a part's texts (second column) have about so many bytes at most; a longer text stands alone."""
     for batch in batches:

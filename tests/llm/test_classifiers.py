@@ -229,3 +229,13 @@ def test_whole_texts_count():
     doc, place, value = quality.features(pa.array(["ok fine " * 5000, "ok fine " * 5000 + "BAD!! " * 9000]))
     a, b = np.bincount(doc, value * model[place], 2)
     assert b < a
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_fit_gives_the_driver_its_memory_back(spark, monkeypatch, name):
+    tidied = []
+    monkeypatch.setattr("rootline.llm.words.tidy", lambda: tidied.append(name))  # what the workers append stays with them
+    docs = spark.createDataFrame([(i, f"some words {i % 5} of text {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    CASES[name][0].fit(docs, labels)
+    assert tidied == [name]

@@ -159,3 +159,14 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(x.node, x.component) for x in got} == want and len(got) == len(want)
 
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    def none(edges, label):
+        raise AssertionError("a round over edges that are stars")
+
+    monkeypatch.setattr("rootline.llm.components._large_star", none)
+    edges = [(i, i % 7) for i in range(7, 60)] + [(3, 9 + 1), (90, 91), (90, 91), (5, 5)]
+    edges = [e for e in edges if e != (10, 3)]  # the same edge once each way, and once repeated
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {(x.node, x.component) for x in got} == {(i, i % 7) for i in range(60)} | {(90, 90), (91, 90)} and len(got) == 62
+    assert components(spark.createDataFrame([(4, 4)], "a long, b long")).collect() == []
